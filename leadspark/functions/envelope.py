@@ -35,15 +35,34 @@ def event_data(event: Column) -> Column:
     return F.get_json_object(event, "$.data.message.data")
 
 
+END = "#end-of-record#"
+
+
 def strict_json(text: Column) -> Column:
     """Parse exactly one JSON value; NULL when anything else stands around it.
 
-    The parser stops after the first value, so the text is closed in twice: text that
-    ends one of the wrappers early cannot also fit the other.
+    The parser stops after the first value. So the text is read as the first of two items
+    of a list, and the second one, our mark, must come out behind it: a text that closes
+    the list early loses the mark, and one that brings more items moves it.
     """
+    listed = F.try_parse_json(
+        F.when(
+            ~F.contains(text, F.lit(END)),
+            F.concat(F.lit("["), text, F.lit(f',"{END}"]')),
+        ).otherwise(_twice_closed(text))
+    )
+    marked = F.try_variant_get(listed, "$[1]", "string") == END
+    return F.when(marked, F.try_variant_get(listed, "$[0]", "variant"))
+
+
+def _twice_closed(text: Column) -> Column:
+    """A text that holds the mark itself: no text ends both wrappers early."""
     in_list = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     in_field = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    return F.when(in_list.isNotNull(), F.try_variant_get(in_field, "$.v", "variant"))
+    return F.when(
+        in_list.isNotNull() & in_field.isNotNull(),
+        F.concat(F.lit("["), text, F.lit(f',"{END}"]')),
+    )
 
 
 def rejection(data: Column, value: Column) -> Column:

@@ -39,7 +39,7 @@ def checked_reply(replies: DataFrame, reply: str = "reply") -> DataFrame:
         "rejected",
         F.when(F.col("text").isNull(), "no_text").when(F.col("record").isNull(), "not_json"),
     )
-    return check(parsed, checks.analysis_errors)
+    return check(parsed, checks.ANALYSIS)
 
 
 def _reply(clean_text: str, source_url: str) -> str:

@@ -1,12 +1,11 @@
 """Decode and check records; the good ones get types, the others a quarantine row."""
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from leadspark.functions import envelope
+from leadspark.functions.checks import RecordType
 
 
 def decode(messages: DataFrame, data: str = "data") -> DataFrame:
@@ -23,26 +22,36 @@ def parse(bodies: DataFrame, text: str = "text") -> DataFrame:
     return parsed.withColumn("rejected", F.when(F.col("record").isNull(), "not_json"))
 
 
-def check(parsed: DataFrame, errors: Callable[[Column], Column]) -> DataFrame:
-    """Add `errors` and `first_error`; a record that did not parse has that one error.
+def check(parsed: DataFrame, expected: RecordType) -> DataFrame:
+    """Add `errors`, `first_error` and `values`; a record that did not parse has one error.
 
-    The checks run once per record. A filter on their result stays above the inline()
-    and does not bring its own copy of them.
+    The checks run once per record: a filter on their result stays above the inline() and
+    does not bring its own copy of them.
     """
+    shaped = parsed.withColumn("shape", F.schema_of_variant("record"))
+    valued = shaped.withColumn("values", expected.values())
+    judged = valued.withColumn("good", expected.good())
+    fields = judged.withColumn("kinds", F.when(~F.col("good"), expected.kinds()))
     found = F.when(F.col("rejected").isNotNull(), F.array("rejected")).otherwise(
-        errors(F.col("record"))
+        expected.errors()
+    )
+    checked = fields.withColumn("found", found).drop("shape", "good", "kinds")
+    return (
+        checked.select("*", F.inline(F.array(F.struct(F.col("found").alias("errors")))))
+        .drop("found")
+        .withColumn("first_error", F.get("errors", F.lit(0)))
     )
-    checked = parsed.select("*", F.inline(F.array(F.struct(found.alias("errors")))))
-    return checked.withColumn("first_error", F.get("errors", F.lit(0)))
 
 
 def typed(checked: DataFrame, schema: StructType, *keep: str) -> DataFrame:
     """All records beside the columns to keep; the fields of bad ones are NULL."""
-    record = F.when(
-        F.col("first_error").isNull(),
-        F.try_variant_get("record", "$", schema.simpleString()),
-    )
-    return checked.select(*keep, record.alias("typed")).select(*keep, "typed.*")
+    fields = [
+        F.when(F.col("first_error").isNull(), F.col(f"values.{field.name}"))
+        .cast(field.dataType)
+        .alias(field.name)
+        for field in schema
+    ]
+    return checked.select(*keep, *fields)
 
 
 def accepted(checked: DataFrame, schema: StructType, *keep: str) -> DataFrame:

@@ -31,7 +31,7 @@ def relevant_articles(
 def checked_articles(articles: DataFrame) -> DataFrame:
     """Articles as records with their errors."""
     bodies = articles.withColumn("text", F.to_json(F.struct(*ARTICLE.fieldNames())))
-    return validate.check(validate.parse(bodies), checks.article_errors)
+    return validate.check(validate.parse(bodies), checks.ARTICLE)
 
 
 def extracted(articles: DataFrame, model: extract.Model, *keep: str) -> DataFrame:

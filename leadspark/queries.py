@@ -213,7 +213,7 @@ def alert_outbox(spark, sf_dir):
 
 def _checked_messages(spark, sf_dir):
     decoded = validate.decode(fixtures.raw_messages(spark, sf_dir))
-    return validate.check(decoded, checks.analysis_errors)
+    return validate.check(decoded, checks.ANALYSIS)
 
 
 @query
@@ -221,7 +221,7 @@ def quarantine_counts(spark, sf_dir):
     analyses = validate.quarantined(_checked_messages(spark, sf_dir), "external-verification")
     bodies = validate.parse(fixtures.raw_articles(spark, sf_dir), "body")
     refused = validate.quarantined(
-        validate.check(bodies, checks.article_errors), "article-to-analyze", "body"
+        validate.check(bodies, checks.ARTICLE), "article-to-analyze", "body"
     )
     return validate.quarantine_counts(analyses.unionByName(refused))
 
@@ -308,7 +308,7 @@ def _verdict(checked, key):
 @query
 def validate_article(spark, sf_dir):
     bodies = validate.parse(fixtures.raw_articles(spark, sf_dir), "body")
-    return _verdict(validate.check(bodies, checks.article_errors), "doc_id")
+    return _verdict(validate.check(bodies, checks.ARTICLE), "doc_id")
 
 
 @query
@@ -319,7 +319,7 @@ def validate_analysis(spark, sf_dir):
 @query
 def validate_enriched(spark, sf_dir):
     bodies = validate.parse(fixtures.raw_enriched(spark, sf_dir), "body")
-    return _verdict(validate.check(bodies, checks.enriched_errors), "lead_id")
+    return _verdict(validate.check(bodies, checks.ENRICHED), "lead_id")
 
 
 @query
@@ -337,7 +337,7 @@ def validate_correction(spark, sf_dir):
     company = F.to_json(F.struct("companyName"))
     body = F.concat(F.lit("{"), id_text, F.substring(company, F.lit(2), F.length(company)))
     bodies = fixtures.leads(spark, sf_dir).select("lead_id", body.alias("body"))
-    checked = validate.check(validate.parse(bodies, "body"), checks.correction_errors)
+    checked = validate.check(validate.parse(bodies, "body"), checks.CORRECTION)
     return _verdict(checked, "lead_id")
 
 
@@ -551,7 +551,7 @@ def merge_partials_stream(spark, sf_dir):
 @query
 def decision_matrix(spark, sf_dir):
     bodies = validate.parse(fixtures.raw_enriched(spark, sf_dir), "body")
-    good = validate.check(bodies, checks.enriched_errors).where("first_error is null")
+    good = validate.check(bodies, checks.ENRICHED).where("first_error is null")
     return good.select("lead_id", decide.raw_decision(F.col("record")).alias("decision"))
 
 
@@ -573,7 +573,7 @@ def route_counts(spark, sf_dir):
 @query
 def record_outcome(spark, sf_dir):
     bodies = validate.parse(fixtures.raw_enriched(spark, sf_dir), "body")
-    checked = validate.check(bodies, checks.enriched_errors)
+    checked = validate.check(bodies, checks.ENRICHED)
     code, message = decide.outcome(
         F.col("companyName"), decide.raw_decision(F.col("record")), F.col("first_error")
     )
@@ -767,9 +767,8 @@ def article_leads(spark, sf_dir):
     path = f"{shared_dir(spark, 'articles')}/replies"
     # The model runs once; its checked replies are a table from here on.
     articles.extracted(found, extract.field_model, "page_id").select(
-        "page_id", "text", "first_error"
+        "page_id", "text", "first_error", "values"
     ).write.parquet(path)
-    replies = validate.parse(spark.read.parquet(path))
-    leads = articles.leads_from(replies, "page_id")
+    leads = articles.leads_from(spark.read.parquet(path), "page_id")
     final = score_leads(leads, as_of=AS_OF)
     return final.select(*_scores("page_id", "companyName", "sourceURL"), "decision")

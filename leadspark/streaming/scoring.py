@@ -25,7 +25,7 @@ def routed(
 
     Good and bad messages go through one plan, so every message is decoded once.
     """
-    checked = validate.check(validate.decode(messages), checks.analysis_errors)
+    checked = validate.check(validate.decode(messages), checks.ANALYSIS)
     typed = validate.typed(checked, ANALYSIS, key, "text", "first_error")
     final = score_leads(typed, as_of=as_of, corpus=corpus, trusted=trusted)
     bad = F.col("first_error").isNotNull()
