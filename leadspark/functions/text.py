@@ -15,13 +15,15 @@ HOST_PATTERN = (
 
 # Parts of a page that are not the article.
 NOISE_PATTERN = (
-    r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-    r"|<nav\b.*?</nav\s*>|<footer\b.*?</footer\s*>|<aside\b.*?</aside\s*>"
-    r'|<div class="ad"[^>]*>.*?</div\s*>'
+    r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>"
+    r"|nav\b.*?</nav\s*>|footer\b.*?</footer\s*>|aside\b.*?</aside\s*>"
+    r'|div class="ad"[^>]*>.*?</div\s*>)'
 )
 ARTICLE_PATTERN = r"(?is)^.*?<article\b[^>]*>(.*)</article\s*>.*$"
 INLINE_TAG_PATTERN = r"(?i)</?(?:a|abbr|b|em|i|mark|small|span|strong|sub|sup|u)\b[^>]*>"
 TAG_PATTERN = r"<[^>]*>"
+# Leaves single blanks as they are.
+BLANKS_PATTERN = r"\s{2,}|[^\S ]"
 
 # Named characters of HTML that occur in running text. "&amp;" is undone last.
 ENTITIES = (
@@ -81,10 +83,11 @@ def _numeric_entities(text: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    text = F.when(F.contains(text, F.lit("&#")), _numeric_entities(text)).otherwise(text)
+    decoded = F.when(F.contains(text, F.lit("&#")), _numeric_entities(text)).otherwise(text)
     for entity, character in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+        decoded = F.replace(decoded, F.lit(entity), F.lit(character))
+    decoded = F.replace(decoded, F.lit("&amp;"), F.lit("&"))
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 
 def clean_text(html: Column) -> Column:
@@ -96,7 +99,7 @@ def clean_text(html: Column) -> Column:
     article = F.regexp_replace(body, ARTICLE_PATTERN, "$1")
     text = F.regexp_replace(article, INLINE_TAG_PATTERN, "")
     text = F.regexp_replace(text, TAG_PATTERN, " ")
-    return F.trim(F.regexp_replace(decode_entities(text), r"\s+", " "))
+    return F.trim(F.regexp_replace(decode_entities(text), BLANKS_PATTERN, " "))
 
 
 def _any_contained(text: Column, keywords: tuple[str, ...]) -> Column:
@@ -113,16 +116,6 @@ def has_keyword(text: Column, keywords: tuple[str, ...]) -> Column:
     return F.exists(F.array(F.lower(text)), lambda low: _any_contained(low, ordered))
 
 
-def matched_keywords(text: Column, keywords: tuple[str, ...]) -> Column:
-    """The keywords that are part of the lower-cased text, as an array."""
-    listed = F.array(*[F.lit(keyword) for keyword in keywords])
-    matched = F.transform(
-        F.array(F.lower(text)),
-        lambda low: F.filter(listed, lambda keyword: F.contains(low, keyword)),
-    )
-    return F.element_at(matched, 1)
-
-
 def _automaton_match(keywords: tuple[str, ...]):
     """Long keyword lists: one pass over each text with an Aho-Corasick automaton."""
 

@@ -82,12 +82,11 @@ def keyword_counts(
     articles: DataFrame, keywords: Sequence[str] = config.KEYWORDS, column: str = "text"
 ) -> DataFrame:
     """How many texts each keyword occurs in; keywords without a text count 0."""
-    found = text.matched_keywords(F.col(column), tuple(keywords))
     counts = [
-        F.count_if(F.array_contains("found", keyword)).alias(f"k{index}")
+        F.count_if(F.contains("low", F.lit(keyword))).alias(f"k{index}")
         for index, keyword in enumerate(keywords)
     ]
-    totals = articles.select(found.alias("found")).agg(*counts)
+    totals = articles.select(F.lower(column).alias("low")).agg(*counts)
     rows = [
         F.struct(F.lit(keyword).alias("keyword"), F.col(f"k{index}").alias("n_articles"))
         for index, keyword in enumerate(keywords)

@@ -9,6 +9,7 @@ from leadspark import config
 from leadspark.functions.clock import as_of_text
 from leadspark.functions.scoring import confidence_score, investment, source_reputation
 from leadspark.functions.text import url_host
+from leadspark.operators.joins import split_left_join
 from leadspark.session import broadcast_if_small
 
 FACT_KEY = ["companyName", "region", "investmentFact"]
@@ -28,9 +29,8 @@ def with_reputation(
         score = source_reputation(host, trusted, blocked)
         return leads.withColumn("sourceReputationScore", score)
     scores = reputation.groupBy("host").agg(F.max("score").alias("score"))
-    joined = leads.withColumn("host", host).join(
-        broadcast_if_small(scores), "host", "left"
-    )
+    known = broadcast_if_small(scores.where("host is not null"))
+    joined = split_left_join(leads.withColumn("host", host), known, ["host"])
     score = F.coalesce("score", F.lit(config.DEFAULT_SCORE)).cast("int")
     return joined.withColumn("sourceReputationScore", score).drop("host", "score")
 
@@ -59,6 +59,7 @@ def evidence(
     facts = F.array_compact(F.array(F.lit(ANY), investment(F.col("summary"))))
     return (
         articles.where(_trusted(F.col("sourceURL"), trusted))
+        .where("companyName is not null and region is not null")
         .select(
             "companyName", "region", F.explode(facts).alias("investmentFact"), "sourceURL"
         )
@@ -107,8 +108,8 @@ def with_corroboration(
         asked = asked.withColumn("own", _trusted(url, trusted).cast("int"))
     else:
         mine = proof.withColumn("own", F.lit(1))
-        asked = asked.join(mine, FACT_KEY + ["sourceURL"], "left")
-    joined = asked.join(evidence_totals(proof, urls_per_lead), FACT_KEY, "left")
+        asked = split_left_join(asked, mine, FACT_KEY + ["sourceURL"])
+    joined = split_left_join(asked, evidence_totals(proof, urls_per_lead), FACT_KEY)
     others = F.coalesce("n_urls", F.lit(0)) - F.coalesce("own", F.lit(0))
     urls = F.slice(F.array_remove("urls", url), 1, urls_per_lead)
     return (

@@ -706,20 +706,22 @@ def alert_payload(spark, sf_dir):
     )
 
 
+def _approved(spark, sf_dir):
+    final = fixtures.scored(spark, sf_dir).select(*FINAL_ANALYSIS.fieldNames())
+    approved = tables.warehouse_rows(final).where("decision = 'Approved'")
+    return tables.typed_warehouse(approved, FINAL_ANALYSIS)
+
+
 @query
 def lead_report(spark, sf_dir):
-    final = fixtures.scored(spark, sf_dir).select(*FINAL_ANALYSIS.fieldNames())
-    typed = tables.typed_warehouse(tables.warehouse_rows(final), FINAL_ANALYSIS)
-    return deliver.lead_report(typed).withColumn(
+    return deliver.lead_report(_approved(spark, sf_dir)).withColumn(
         "opportunityScore", long("opportunityScore")
     )
 
 
 @query
 def region_score_map(spark, sf_dir):
-    final = fixtures.scored(spark, sf_dir).select(*FINAL_ANALYSIS.fieldNames())
-    typed = tables.typed_warehouse(tables.warehouse_rows(final), FINAL_ANALYSIS)
-    return deliver.region_scores(typed)
+    return deliver.region_scores(_approved(spark, sf_dir))
 
 
 # Composed jobs

@@ -1,6 +1,6 @@
 """Stage tables: append-only Parquet that one stage writes and the next one reads."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -43,19 +43,25 @@ def write_batch(
     writer.parquet(f"{path}/batch={batch_id}")
 
 
-def warehouse_rows(final: DataFrame, day: Column | None = None) -> DataFrame:
-    """Final analyses as one JSON column, with the day they are filed under."""
-    day = F.col("decisionTimestamp") if day is None else day
+def warehouse_rows(final: DataFrame) -> DataFrame:
+    """Final analyses as one JSON column, with the decision and day they are filed under."""
     return final.select(
         F.to_json(F.struct(*[F.col(name) for name in final.columns])).alias("data"),
-        F.substring(day, 1, 10).alias("decision_date"),
+        F.substring("decisionTimestamp", 1, 10).alias("decision_date"),
+        "decision",
     )
 
 
 def append_warehouse(final: DataFrame, path: str) -> None:
-    warehouse_rows(final).write.mode("append").partitionBy("decision_date").parquet(path)
+    rows = warehouse_rows(final)
+    rows.write.mode("append").partitionBy("decision_date", "decision").parquet(path)
 
 
 def typed_warehouse(rows: DataFrame, schema: StructType) -> DataFrame:
-    """The JSON column with types again, for reports; unknown fields are dropped."""
-    return rows.select(F.from_json("data", schema).alias("record")).select("record.*")
+    """The JSON column with types again, for reports; unknown fields are dropped.
+
+    Each row is parsed once, and filters on the result do not parse it again. To read one
+    decision only, filter `rows` by it: they are filed by decision and day.
+    """
+    parsed = rows.select(F.from_json("data", schema).alias("record"))
+    return parsed.select(F.inline(F.array("record")))

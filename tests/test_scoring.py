@@ -239,6 +239,37 @@ def test_url_lists_are_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
+def test_hot_facts_are_split(spark):
+    """A third of the leads share their facts; their partition is read in several parts."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(0, 40000, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, "Hot")
+            .otherwise(F.concat(F.lit("Company "), F.col("id")))
+            .alias("companyName"),
+            F.lit("Baltic").alias("region"),
+            F.lit("puts $20M").alias("summary"),
+            F.concat(F.lit("https://reuters.com/"), F.col("id")).alias("sourceURL"),
+        )
+        frame = verify.with_corroboration(rows)
+        assert frame.agg(F.sum("corroboratingSources")).first()[0] == 13334 * 13333
+        done = frame.groupBy().agg(F.sum("corroboratingSources"), F.max("sourceURL"))
+        done.collect()
+        assert "skew=true" in done._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_three_given_sources_reject_every_host(spark):
     frame = leads(
         spark, LEAD, lead(sourceURL="https://reuters.com/1"), lead(sourceURL="https://a.org/1")
