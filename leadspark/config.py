@@ -82,6 +82,39 @@ STAGES = (
     "final-leads",
 )
 
+# Conditions of the business rules and of the consistency check.
+CONSTRUCTION_TYPE = "New Construction"
+CONSTRUCTION_NEED = "Construction Services"
+TECHNOLOGY_INDUSTRY = "Technology"
+TECHNOLOGY_SCORE_ABOVE = 7
+SUMMARY_LENGTH = 50
+EXPANSION_WORD = "expansion"
+DOWNSIZING_TYPE = "Downsizing"
+
+# What each failed check takes off the quality score.
+RULE_PENALTY = 10
+CONSISTENCY_PENALTY = 20
+TONE_PENALTY = 10
+
+# Answers to a record. The message of an invalid one ends with its error.
+REVIEW_MESSAGE = "Analysis for {company} requires manual review."
+PUBLISHED_MESSAGE = "Published final analysis for {company} with decision: {decision}"
+INVALID_MESSAGE = "Invalid enriched analysis format: {error}"
+
+# Texts of an alert in the order of its parts.
+ALERT_LINE = "🔥 New Opportunity Hunted: {company}"
+ALERT_HEADER = "🚀 {company}"
+ALERT_INDUSTRY = "*Industry:*\n{industry}"
+ALERT_REGION = "*Region:*\n{region}"
+ALERT_OPPORTUNITY = "*Opportunity:* {summary}"
+ALERT_NEEDS = "*Potential Needs:*\n• {needs}"
+ALERT_NEED_SEPARATOR = "\n• "
+ALERT_SOURCE = "Source: <{url}|Click to view>"
+ALERT_CONFIDENCE = " | Confidence: *{confidence}%*"
+
+# Fixed value: title of a review form without a company.
+NO_COMPANY = "No Company Name"
+
 CYCLE = "30 minutes"
 REVIEW_WINDOW = "60 seconds"
 

@@ -48,17 +48,18 @@ class Rule:
 
 def _construction_need_missing() -> Column:
     named = F.exists(
-        "potentialNeed", lambda need: need.eqNullSafe("Construction Services")
+        "potentialNeed", lambda need: need.eqNullSafe(config.CONSTRUCTION_NEED)
     )
-    return (F.col("opportunityType") == "New Construction") & ~named
+    return (F.col("opportunityType") == config.CONSTRUCTION_TYPE) & ~named
 
 
 def _technology_score_low() -> Column:
-    return (F.col("industry") == "Technology") & (F.col("opportunityScore") <= 7)
+    low = F.col("opportunityScore") <= config.TECHNOLOGY_SCORE_ABOVE
+    return (F.col("industry") == config.TECHNOLOGY_INDUSTRY) & low
 
 
 def _summary_short() -> Column:
-    return utf16_length(F.col("summary")) < 50
+    return utf16_length(F.col("summary")) < config.SUMMARY_LENGTH
 
 
 RULES = (
@@ -76,8 +77,8 @@ def failed_rules(rules: Sequence[Rule] = RULES) -> Column:
 
 
 def logical_consistency() -> Column:
-    contradiction = F.contains(F.lower("summary"), F.lit("expansion")) & (
-        F.col("opportunityType") == "Downsizing"
+    contradiction = F.contains(F.lower("summary"), F.lit(config.EXPANSION_WORD)) & (
+        F.col("opportunityType") == config.DOWNSIZING_TYPE
     )
     return F.when(contradiction, "Failed").otherwise("Passed")
 
@@ -96,9 +97,9 @@ def word_share_tone(
 
 def quality_score(failed: Column, consistency: Column, tone: Column) -> Column:
     penalty = (
-        F.size(failed) * 10
-        + F.when(consistency == "Failed", 20).otherwise(0)
-        + F.when(tone == "Failed", 10).otherwise(0)
+        F.size(failed) * config.RULE_PENALTY
+        + F.when(consistency == "Failed", config.CONSISTENCY_PENALTY).otherwise(0)
+        + F.when(tone == "Failed", config.TONE_PENALTY).otherwise(0)
     )
     return F.greatest(F.lit(0), F.lit(100) - penalty)
 

@@ -1,6 +1,7 @@
 """Text of articles: hosts, page clean-up, keywords, prompts."""
 
 from functools import reduce
+from string import Formatter
 
 import pandas as pd
 from pyspark.sql import Column
@@ -82,7 +83,7 @@ def _numeric_entities(text: Column) -> Column:
     return F.array_join(F.transform(F.split(text, "&#"), piece), "")
 
 
-def decode_entities(text: Column) -> Column:
+def _decoded(text: Column) -> Column:
     decoded = F.when(F.contains(text, F.lit("&#")), _numeric_entities(text)).otherwise(text)
     for entity, character in ENTITIES:
         decoded = F.replace(decoded, F.lit(entity), F.lit(character))
@@ -90,6 +91,12 @@ def decode_entities(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 
+def decode_entities(text: Column) -> Column:
+    """Named and numbered characters of HTML undone, once."""
+    # The one-element array computes a text once, however often it is looked at.
+    return F.get(F.transform(F.array(text), _decoded), F.lit(0))
+
+
 def clean_text(html: Column) -> Column:
     """Body of an article: no scripts, navigation, ads or tags, blanks squashed.
 
@@ -140,6 +147,16 @@ def _automaton_match(keywords: tuple[str, ...]):
     return match
 
 
+def filled(template: str, **values: Column) -> Column:
+    """A text with columns in place of its {names}."""
+    parts = []
+    for literal, name, _, _ in Formatter().parse(template):
+        parts.append(F.lit(literal))
+        if name is not None:
+            parts.append(values[name])
+    return F.concat(*parts)
+
+
 def render_prompt(text: Column, template: str = PROMPT_TEMPLATE) -> Column:
     """The template with the article in place of its first marker."""
     head, marker, tail = template.partition(ARTICLE_MARKER)

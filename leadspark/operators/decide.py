@@ -3,8 +3,10 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadspark import config
 from leadspark.functions import scoring
 from leadspark.functions.clock import as_of_text
+from leadspark.functions.text import filled
 from leadspark.schemas import FINAL_ANALYSIS
 
 REVIEW = "Manual Review"
@@ -75,22 +77,9 @@ def outcome(company: Column, decision: Column, error: Column) -> tuple[Column, C
     """Code and message that answer a record."""
     code = F.when(error.isNotNull(), 400).otherwise(200)
     message = (
-        F.when(
-            error.isNotNull(),
-            F.concat(F.lit("Invalid enriched analysis format: "), error),
-        )
-        .when(
-            decision == REVIEW,
-            F.concat(F.lit("Analysis for "), company, F.lit(" requires manual review.")),
-        )
-        .otherwise(
-            F.concat(
-                F.lit("Published final analysis for "),
-                company,
-                F.lit(" with decision: "),
-                decision,
-            )
-        )
+        F.when(error.isNotNull(), filled(config.INVALID_MESSAGE, error=error))
+        .when(decision == REVIEW, filled(config.REVIEW_MESSAGE, company=company))
+        .otherwise(filled(config.PUBLISHED_MESSAGE, company=company, decision=decision))
     )
     return code, message
 

@@ -3,83 +3,53 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadspark import config
+from leadspark.functions.text import filled
+
 
 def _shown(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit("undefined"))
 
 
-def _text(kind: str, text: Column) -> Column:
-    return F.struct(F.lit(kind).alias("type"), text.alias("text"))
+_TEXT_TYPE = "struct<type:string,text:string>"
+_BLOCK_TYPE = (
+    f"struct<type:string,text:{_TEXT_TYPE},"
+    f"fields:array<{_TEXT_TYPE}>,elements:array<{_TEXT_TYPE}>>"
+)
 
 
-_TEXT_TYPE = "struct<type:string,text:string>"
+def _text(template: str, kind: str = "mrkdwn", **values: Column) -> Column:
+    return F.struct(F.lit(kind).alias("type"), filled(template, **values).alias("text"))
 
 
-def _block(
-    kind: str, text: Column | None = None, fields: Column | None = None,
-    elements: Column | None = None,
-) -> Column:
+def _block(kind: str, **parts: Column) -> Column:
     """One block of an alert. All have one shape; JSON leaves out what is NULL."""
-    none = F.lit(None)
+    names = ("text", "fields", "elements")
     return F.struct(
-        F.lit(kind).alias("type"),
-        (none if text is None else text).cast(_TEXT_TYPE).alias("text"),
-        (none if fields is None else fields).cast(f"array<{_TEXT_TYPE}>").alias("fields"),
-        (none if elements is None else elements)
-        .cast(f"array<{_TEXT_TYPE}>")
-        .alias("elements"),
-    )
+        F.lit(kind), *[parts.get(name, F.lit(None)) for name in names]
+    ).cast(_BLOCK_TYPE)
 
 
 def alert_payload() -> Column:
     """The alert on a lead: a line of text and five blocks."""
     company = _shown(F.col("companyName"))
-    needs = F.array_join("potentialNeed", "\n• ", "")
-    confidence = _shown(F.col("verification.confidenceScore"))
+    needs = F.array_join("potentialNeed", config.ALERT_NEED_SEPARATOR, "")
+    industry = _text(config.ALERT_INDUSTRY, industry=_shown(F.col("industry")))
+    region = _text(config.ALERT_REGION, region=_shown(F.col("region")))
+    opportunity = _text(config.ALERT_OPPORTUNITY, summary=_shown(F.col("summary")))
+    source = _text(config.ALERT_SOURCE, url=_shown(F.col("sourceURL")))
+    confidence = _text(
+        config.ALERT_CONFIDENCE,
+        confidence=_shown(F.col("verification.confidenceScore")),
+    )
     blocks = F.array(
-        _block("header", _text("plain_text", F.concat(F.lit("🚀 "), company))),
-        _block(
-            "section",
-            fields=F.array(
-                _text(
-                    "mrkdwn",
-                    F.concat(F.lit("*Industry:*\n"), _shown(F.col("industry"))),
-                ),
-                _text(
-                    "mrkdwn", F.concat(F.lit("*Region:*\n"), _shown(F.col("region")))
-                ),
-            ),
-        ),
-        _block(
-            "section",
-            _text(
-                "mrkdwn",
-                F.concat(F.lit("*Opportunity:* "), _shown(F.col("summary"))),
-            ),
-        ),
-        _block(
-            "section",
-            _text("mrkdwn", F.concat(F.lit("*Potential Needs:*\n• "), needs)),
-        ),
-        _block(
-            "context",
-            elements=F.array(
-                _text(
-                    "mrkdwn",
-                    F.concat(
-                        F.lit("Source: <"),
-                        _shown(F.col("sourceURL")),
-                        F.lit("|Click to view>"),
-                    ),
-                ),
-                _text(
-                    "mrkdwn",
-                    F.concat(F.lit(" | Confidence: *"), confidence, F.lit("%*")),
-                ),
-            ),
-        ),
+        _block("header", text=_text(config.ALERT_HEADER, "plain_text", company=company)),
+        _block("section", fields=F.array(industry, region)),
+        _block("section", text=opportunity),
+        _block("section", text=_text(config.ALERT_NEEDS, needs=needs)),
+        _block("context", elements=F.array(source, confidence)),
     )
-    line = F.concat(F.lit("🔥 New Opportunity Hunted: "), company)
+    line = filled(config.ALERT_LINE, company=company)
     return F.struct(line.alias("text"), blocks.alias("blocks"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leadspark import config
 from leadspark.functions import text
+from leadspark.operators.once import with_once
 
 LINK_PATTERN = r"""(?i)<a\b[^>]*\bhref\s*=\s*["']([^"'#][^"']*)["']"""
 
@@ -24,6 +25,14 @@ def cycle_starts(times: DataFrame, ts: str = "ts", step: str = config.CYCLE) ->
     )
 
 
+def busy_cycles(events: DataFrame, ts: str = "ts", step: str = config.CYCLE) -> DataFrame:
+    """One row per cycle with events in it; works on streams with a watermark as well."""
+    counts = events.groupBy(F.window(ts, step).alias("window")).agg(
+        F.count(F.lit(1)).alias("n_events")
+    )
+    return counts.select(F.col("window.start").alias("cycle_start"), "n_events")
+
+
 def fan_out(
     cycles: DataFrame, sources: Sequence[tuple[str, str]] = config.SOURCES
 ) -> DataFrame:
@@ -106,9 +115,7 @@ def relevant(
 def page_articles(pages: DataFrame) -> DataFrame:
     """Landed pages as articles: text, URL and host. Pages without a host are left out."""
     hosts = pages.withColumn("source_domain", text.url_host(F.col("url")))
-    return hosts.where(F.col("source_domain").isNotNull()).select(
-        "page_id",
-        text.clean_text(F.col("html")).alias("clean_text"),
-        F.col("url").alias("source_url"),
-        "source_domain",
+    with_host = hosts.where(F.col("source_domain").isNotNull())
+    return with_once(with_host, "clean_text", text.clean_text(F.col("html"))).select(
+        "page_id", "clean_text", F.col("url").alias("source_url"), "source_domain"
     )

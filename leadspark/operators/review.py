@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadspark.config import NO_COMPANY
 from leadspark.schemas import ANALYSIS
 
 FORM_TEXTS = (
@@ -47,7 +48,7 @@ def form_view(items: DataFrame) -> DataFrame:
     """Items as a form shows them: blanks for what is missing, one need per line."""
     blank = {name: F.coalesce(name, F.lit("")) for name in FORM_TEXTS}
     title = F.coalesce(
-        F.nullif("companyName", F.lit("")), F.lit("No Company Name")
+        F.nullif("companyName", F.lit("")), F.lit(NO_COMPANY)
     )
     return items.withColumns(
         {

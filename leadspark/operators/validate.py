@@ -6,6 +6,7 @@ from pyspark.sql.types import StructType
 
 from leadspark.functions import envelope
 from leadspark.functions.checks import RecordType
+from leadspark.operators.once import with_once
 
 
 def decode(messages: DataFrame, data: str = "data") -> DataFrame:
@@ -25,8 +26,7 @@ def parse(bodies: DataFrame, text: str = "text") -> DataFrame:
 def check(parsed: DataFrame, expected: RecordType) -> DataFrame:
     """Add `errors`, `first_error` and `values`; a record that did not parse has one error.
 
-    The checks run once per record: a filter on their result stays above the inline() and
-    does not bring its own copy of them.
+    A record is parsed and checked once, also where good and bad ones part ways later.
     """
     shaped = parsed.withColumn("shape", F.schema_of_variant("record"))
     valued = shaped.withColumn("values", expected.values())
@@ -35,12 +35,8 @@ def check(parsed: DataFrame, expected: RecordType) -> DataFrame:
     found = F.when(F.col("rejected").isNotNull(), F.array("rejected")).otherwise(
         expected.errors()
     )
-    checked = fields.withColumn("found", found).drop("shape", "good", "kinds")
-    return (
-        checked.select("*", F.inline(F.array(F.struct(F.col("found").alias("errors")))))
-        .drop("found")
-        .withColumn("first_error", F.get("errors", F.lit(0)))
-    )
+    checked = with_once(fields, "errors", found).drop("shape", "good", "kinds")
+    return checked.withColumn("first_error", F.get("errors", F.lit(0)))
 
 
 def typed(checked: DataFrame, schema: StructType, *keep: str) -> DataFrame:

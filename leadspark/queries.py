@@ -22,6 +22,7 @@ from leadspark.operators import (
     validate,
     verify,
 )
+from leadspark.operators.once import with_once
 from leadspark.plans import articles
 from leadspark.plans.lead_scoring import score_leads
 from leadspark.schemas import ANALYSIS, ARTICLE_REF, FINAL_ANALYSIS, SOURCE
@@ -345,9 +346,10 @@ def validate_correction(spark, sf_dir):
 
 
 def _document_articles(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select(
+    squashed = F.trim(F.regexp_replace("text", text.BLANKS_PATTERN, " "))
+    documents = with_once(table(spark, sf_dir, "documents"), "clean_text", squashed).select(
         "doc_id",
-        F.trim(F.regexp_replace("text", r"\s+", " ")).alias("clean_text"),
+        "clean_text",
         F.concat(F.lit("https://"), "source", F.lit(".example.org/"), "doc_id").alias(
             "source_url"
         ),

@@ -59,8 +59,4 @@ FINAL_ANALYSIS = T.StructType(
     ]
 )
 
-QUARANTINE = (
-    T.StructType().add("stage", STRING).add("reason", STRING).add("raw", STRING)
-)
-
 ANALYSIS_FIELDS = tuple(ANALYSIS.fieldNames())

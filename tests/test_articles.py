@@ -29,6 +29,14 @@ def test_cycles_cover_the_span(spark):
     assert ingest.cycle_starts(times.where("false")).count() == 0
 
 
+def test_cycles_with_events(spark):
+    times = spark.sql(
+        "select timestamp'2024-01-01 00:10:00' ts union all select timestamp'2024-01-01 00:29:00'"
+    )
+    row = ingest.fan_out(ingest.busy_cycles(times)).first()
+    assert (row.cycle_start.hour, row.cycle_start.minute, row.n_events) == (0, 0, 2)
+
+
 def test_catalogs_from_files(spark, tmp_path):
     path = tmp_path / "keywords.json"
     path.write_text(json.dumps({"keywords": ["finance", "ai"]}, indent=1))
@@ -116,6 +124,14 @@ def test_long_keyword_list_gives_the_same(spark):
     assert len(short) == 136
 
 
+def test_pages_are_cleaned_once(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    frame = ingest.relevant(ingest.page_articles(pages))
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"script\b.*?</script") == 1
+    assert frame.count() > 0
+
+
 def test_new_urls_once_and_unseen(spark):
     refs = spark.createDataFrame(
         [("a", 3), ("a", 1), ("b", 2), ("c", 5)], "article_url string, page_id int"
