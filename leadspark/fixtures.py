@@ -224,7 +224,8 @@ def model_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seen_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").where("page_id % 4 = 0")
+    """The pages without encryption have been seen before."""
+    pages = table(spark, sf_dir, "pages").where(F.col("url").startswith("http:"))
     return pages.select(F.col("url").alias("article_url"))
 
 
@@ -278,7 +279,7 @@ def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def review_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answers of reviewers on two of three items, some twice, some for no known item."""
+    """Answers of reviewers, some twice, some for no known item; one region has none yet."""
     key = F.col("lead_id")
     item_id = (
         F.when(key % 19 == 0, F.lit(None).cast("string"))
@@ -290,7 +291,7 @@ def review_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     again = F.when(key % 10 == 0, 2).otherwise(1)
     score = F.col("opportunityScore").cast("string")
-    form = queue(spark, sf_dir).where(key % 3 < 2)
+    form = queue(spark, sf_dir).where("region <> 'AMERICA'")
     return form.select("*", F.explode(F.sequence(F.lit(1), again)).alias("attempt")).select(
         item_id.alias("id"),
         key,

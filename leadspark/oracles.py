@@ -138,10 +138,10 @@ actions AS (
     strftime(TIMESTAMP '2024-01-01' + to_seconds(CAST(lead_id * 7 + attempt * 60 AS BIGINT)),
       '%Y-%m-%dT%H:%M:%S') || '.000Z' AS submitted_at
   FROM (
-    SELECT *, lead_id % 3 = 0 AS keeps,
-      CASE WHEN lead_id % 3 = 0 THEN 'approved' ELSE 'declined' END AS status,
-      lead_id % 3 = 0 AND lead_id % 2 = 1 AS corrected
-    FROM queue WHERE lead_id % 3 < 2
+    SELECT *, lead_id % 3 <> 1 AS keeps,
+      CASE WHEN lead_id % 3 <> 1 THEN 'approved' ELSE 'declined' END AS status,
+      lead_id % 3 <> 1 AND lead_id % 2 = 1 AS corrected
+    FROM queue WHERE region <> 'AMERICA'
   ) JOIN (VALUES (CAST(1 AS BIGINT)), (2)) AS tries(attempt)
     ON attempt = 1 OR lead_id % 10 = 0
 ), waiting AS (
@@ -218,7 +218,7 @@ body AS (
       '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'),
     '\s+', ' ', 'g')) AS clean_text FROM stripped
 ), fresh AS (
-  SELECT * FROM clean WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 4 = 0)
+  SELECT * FROM clean WHERE url NOT LIKE 'http:%'
     AND {_relevant("clean_text")}
 )"""
 
@@ -345,7 +345,7 @@ SELECT page_id, CASE WHEN page_id % 6 <> 3
   THEN lower(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)) END AS host FROM pages""",
     "url_dedup": """
 SELECT url AS article_url, min(page_id) AS page_id FROM pages
-WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 4 = 0) GROUP BY url""",
+WHERE url NOT LIKE 'http:%' GROUP BY url""",
     "url_dedup_stream": """
 SELECT DISTINCT 'https://news.example.org/' || user_id AS article_url FROM events""",
     "html_clean_text": _with(CLEAN, "SELECT page_id, clean_text FROM clean"),
@@ -457,7 +457,7 @@ SELECT lead_id, CAST(quality AS BIGINT) AS quality, 20 - n_failed AS rules_passe
         SCORED,
         "SELECT lead_id, companyName, confidence, CAST(quality AS BIGINT) AS quality FROM scored",
     ),
-    "merge_partials": _with(SCORED, f"SELECT {SCORES} FROM scored WHERE lead_id % 10 <> 3"),
+    "merge_partials": _with(SCORED, f"SELECT {SCORES} FROM scored WHERE opportunityType <> 'Merger'"),
     "merge_partials_stream": _with(SCORED, f"SELECT {SCORES} FROM scored"),
     "decision_matrix": _with(
         ENRICHED,

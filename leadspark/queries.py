@@ -203,8 +203,8 @@ def alert_outbox(spark, sf_dir):
     ready = deliver.alerts(decide.route(fixtures.scored(spark, sf_dir))["final-leads"])
     path = f"{shared_dir(spark, 'alerts')}/outbox"
     rows = ready.select("lead_id", "payload")
-    # The first delivery reaches a part of the leads; the second one adds the others.
-    rows.where("lead_id % 3 = 0").write.mode("append").parquet(path)
+    # The first delivery has the leads of one region; the second one adds all others.
+    ready.where("region = 'ASIA'").select(rows.columns).write.mode("append").parquet(path)
     outbox = spark.read.parquet(path)
     deliver.not_yet_sent(rows, outbox).write.mode("append").parquet(path)
     return spark.read.parquet(path).select(
@@ -526,8 +526,8 @@ def merge_branches(spark, sf_dir):
 @query
 def merge_partials(spark, sf_dir):
     lead = fixtures.leads(spark, sf_dir)
-    # Some second halves never come.
-    controlled = fixtures.controlled_half(lead).where("lead_id % 10 <> 3")
+    # The second halves of mergers have not come yet.
+    controlled = fixtures.controlled_half(lead.where("opportunityType <> 'Merger'"))
     halves = fixtures.verified_half(lead).drop("ts").unionByName(
         controlled.drop("ts"), allowMissingColumns=True
     )

@@ -88,6 +88,12 @@ def test_construction_need(spark):
     assert quality_of(spark, beside_null).failedRules == []
 
 
+def test_rules_can_be_added(spark):
+    quote = scoring.Rule("quote", "A quote is missing.", lambda: F.col("keyQuote") == "")
+    result = quality_of(spark, lead(keyQuote=""), rules=(*scoring.RULES, quote), total_rules=4)
+    assert (result.failedRules, result.rulesPassed) == (["A quote is missing."], 3)
+
+
 def test_length_counts_utf16_units(spark):
     assert quality_of(spark, lead(summary="🚀" * 25)).failedRules == []
     assert quality_of(spark, lead(summary="é" * 49)).failedRules == [config.RULE_SUMMARY]
