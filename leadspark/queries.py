@@ -26,7 +26,7 @@ from leadspark.operators.once import with_once
 from leadspark.plans import articles
 from leadspark.plans.lead_scoring import score_leads
 from leadspark.schemas import ANALYSIS, ARTICLE_REF, FINAL_ANALYSIS, SOURCE
-from leadspark.session import broadcast_if_small, configure, shared_dir
+from leadspark.session import broadcast_if_small, configure, shared_dir, state_partitions
 from leadspark.sources import catalog, tables
 from leadspark.streaming import alerts as alert_stream
 from leadspark.streaming import dedup, merge
@@ -270,7 +270,8 @@ def _event_stream(spark, sf_dir):
 def url_dedup_stream(spark, sf_dir):
     root = shared_dir(spark, "dedup")
     fresh = dedup.new_urls_stream(fixtures.url_feed_of(_event_stream(spark, sf_dir)))
-    tables.append_stream(fresh, f"{root}/urls", f"{root}/state").awaitTermination()
+    with state_partitions(spark):
+        tables.append_stream(fresh, f"{root}/urls", f"{root}/state").awaitTermination()
     return spark.read.parquet(f"{root}/urls").select("article_url")
 
 
@@ -546,7 +547,8 @@ def merge_partials_stream(spark, sf_dir):
     merged = merge.merge_partials_stream(
         fixtures.verified_half(lead()), fixtures.controlled_half(lead())
     ).select(*_scores("lead_id"))
-    tables.append_stream(merged, f"{root}/merged", f"{root}/state").awaitTermination()
+    with state_partitions(spark):
+        tables.append_stream(merged, f"{root}/merged", f"{root}/state").awaitTermination()
     return spark.read.parquet(f"{root}/merged")
 
 
@@ -605,9 +607,10 @@ def review_alert_window(spark, sf_dir):
 def review_alert_stream(spark, sf_dir):
     root = shared_dir(spark, "review-alerts")
     events = fixtures.review_events_of(_event_stream(spark, sf_dir))
-    alert_stream.start_review_alerts(
-        events, f"{root}/windows", f"{root}/state"
-    ).awaitTermination()
+    with state_partitions(spark):
+        alert_stream.start_review_alerts(
+            events, f"{root}/windows", f"{root}/state"
+        ).awaitTermination()
     return alert_stream.current_alerts(spark, f"{root}/windows").select(
         utc_iso(F.col("window_start")).alias("window_start"), "n_events"
     )

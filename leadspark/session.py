@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, number: int | None = None):
+    """Streams started inside keep their state in one part per core, or in `number` parts.
+
+    A stream keeps the number it starts with, so it is chosen apart from that of batches.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(number or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder for one run, below the shared folder the cluster names.
 
