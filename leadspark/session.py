@@ -1,6 +1,5 @@
 """Session settings the jobs rely on, shared folders, and the check before a broadcast."""
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -46,11 +45,15 @@ def state_partitions(spark: SparkSession, number: int | None = None):
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder for one run, below the shared folder the cluster names.
 
-    A local temporary folder stands in only where no folder is named.
+    That is the folder in spark.checkpoint.dir, or else the warehouse. Executors on other
+    machines do not see a warehouse on the driver's disk, so that is refused there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="leadspark-")
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        local = spark.sparkContext.master.split("[")[0] == "local"
+        if not local and base.startswith(("file:", "/")):
+            raise ValueError(f"spark.checkpoint.dir is unset and {base} is not shared")
     return f"{base.rstrip('/')}/leadspark/{name}-{uuid.uuid4().hex}"
 
 
