@@ -10,12 +10,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadspark.llm import line_dedup, mixing, packing, simhash
+from leadspark.llm import line_dedup, mixing, packing, simhash, toxicity
 from leadspark.llm.shared import Workspace, table
 
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with an expected severity below the limit stay."""
+    labels = table(spark, sf_dir, "labels")
+    model = toxicity.fit_labels(docs, labels)
+    found = toxicity.with_severity(docs, model)
+    return found.where(F.col("severity") < toxicity.REJECT).select(*docs.columns)
+
+
 def deduplicated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated passages go; documents made of them alone go with them."""
     return line_dedup.deduplicate(docs, drop_emptied=True).select(*docs.columns)
@@ -42,6 +50,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", not_toxic),
     ("line dedup", deduplicated_lines),
     ("simhash near-dedup", without_near_copies),
     ("mixing to target weights", mixed),

@@ -7,14 +7,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from leadspark.llm import line_dedup, mixing, packing, simhash
+from leadspark.llm import (
+    ann,
+    html_text,
+    line_dedup,
+    mixing,
+    packing,
+    pii,
+    quality_rules,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from leadspark.llm.shared import table
 
 # Workers get these functions by value: the package need not be installed there.
-for module in (packing, simhash):
+for module in (ann, html_text, packing, simhash, token_counts, toxicity):
     cloudpickle.register_pickle_by_value(module)
 
 RANKS = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,24 +35,67 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda x: x["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS
+    ]
+    base = F.sha2(pii.listed("base"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, pii.listed("spans").alias("spans"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.with_counts(table(spark, sf_dir, "documents"), PIECES)
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = html_text.with_text(pages, html_text.fit(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(table(spark, sf_dir, "documents"), RANKS)
     cut = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(cut)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit_labels(docs, labels)
+    found = toxicity.with_severity(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", "severity", (F.col("severity") >= toxicity.REJECT).alias("toxic"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "rule", "kept")
+
+
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_pii": op2_pii,
+    "op3_token_counts": op3_token_counts,
+    "op4_html_text": op4_html_text,
     "op5_packing": op5_packing,
+    "op6_toxicity": op6_toxicity,
     "op7_line_dedup": op7_line_dedup,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_ann": op9_ann,
     "op10_mixing": op10_mixing,
     "pipeline": corpus_pipeline.run,
 }
