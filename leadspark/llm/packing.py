@@ -151,12 +151,10 @@ def pack(found: DataFrame, size: int = SIZE, order: tuple[str, ...] = ("doc_id",
     work = Workspace(spark, "packing")
     found = work.store(found, "pieces")
     counts = {row["length"]: row["n"] for row in found.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    schema = "length long, rank long, until long, sequence long, each long, offset long"
-    planned = plan(counts, size)  # a few rows for each of at most `size` lengths
-    slots = spark.createDataFrame(planned, schema) if planned else spark.range(0).select(
-        *(F.lit(0).cast("long").alias(x.split()[0]) for x in schema.split(", "))
-    )
-    slots = work.store(slots, "plan").withColumnRenamed("length", "_length").withColumnRenamed("offset", "_at")
+    names = ("_length", "_from", "_until", "_sequence", "_each", "_at")
+    schema = T.StructType([T.StructField(name, T.LongType()) for name in names])
+    # A few rows for each of at most `size` lengths.
+    slots = work.store(spark.createDataFrame(plan(counts, size), schema), "plan")
     # Ranks within a length: by parts of bounded size, after the parts' counts.
     parts = max(1, -(-max(counts.values(), default=0) // RANKED))
     found = found.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(parts)))
@@ -167,11 +165,10 @@ def pack(found: DataFrame, size: int = SIZE, order: tuple[str, ...] = ("doc_id",
     within = Window.partitionBy("length", "_part").orderBy(*order)
     ranked = found.withColumn("_rank", F.row_number().over(within) - 1)
     ranked = ranked.join(sizes, ["length", "_part"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
-    here = (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("rank")) & (F.col("_rank") < F.col("until"))
-    placed = ranked.join(slots, here)
-    nth = F.col("_rank") - F.col("rank")
+    here = (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_until"))
+    placed = ranked.join(slots, here).withColumn("_nth", F.col("_rank") - F.col("_from"))
     return placed.select(
         *(c for c in found.columns if c != "_part"),
-        (F.col("sequence") + F.expr("div(_rank - rank, each)")).alias("sequence_id"),
-        (F.col("_at") + F.pmod(nth, F.col("each")) * F.col("length")).alias("offset"),
+        (F.col("_sequence") + F.expr("_nth div _each")).alias("sequence_id"),
+        (F.col("_at") + F.pmod("_nth", "_each") * F.col("length")).alias("offset"),
     )

@@ -233,7 +233,7 @@ def verdict(rules: list[Rule]) -> Column:
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents with statistics, base_failed, rule (the one that rejects) and kept."""
-    labelled = docs.join(F.broadcast(_sampled(labels)), "doc_id", "left_semi")
+    labelled = docs.select("doc_id", "text").join(F.broadcast(_sampled(labels)), "doc_id", "left_semi")
     rules = fit(with_statistics(labelled), labels)
     stats = with_statistics(docs).withColumn("base_failed", base_failed())
     stats = stats.withColumn("rule", verdict(rules))
