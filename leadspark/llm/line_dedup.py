@@ -171,9 +171,10 @@ def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS, drop_emptied: bool
     rows, order = _numbered(docs, work)
     lines = work.store(_lines(rows, order), "lines")
     runs = work.store(_runs(_doubled(lines.drop("line"), work), min_words, work), "runs")
-    gone = _deleted(lines, runs).join(order, "ord").select("_row", "gone")
-    joined = rows.join(work.store(gone, "deleted"), "_row", "left")
-    return _rebuilt(joined, drop_emptied).drop("_row", "gone")
+    gone = _deleted(lines, runs).join(order, "ord").select("_row", F.col("gone").alias("_gone"))
+    # Deletions grow with the corpus: never broadcast.
+    joined = rows.join(work.store(gone, "deleted").hint("merge"), "_row", "left")
+    return _rebuilt(joined, drop_emptied).drop("_row", "_gone")
 
 
 def _rebuilt(joined: DataFrame, drop_emptied: bool) -> DataFrame:
@@ -182,13 +183,13 @@ def _rebuilt(joined: DataFrame, drop_emptied: bool) -> DataFrame:
         F.array(every),
         lambda lines: F.array_join(
             F.transform(
-                F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")), lambda i: F.get(lines, i)
+                F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone")), lambda i: F.get(lines, i)
             ),
             "\n",
         ),
     )
-    cut = joined.withColumn("text", F.when(F.col("gone").isNotNull(), left[0]).otherwise(F.col("text")))
-    cut = cut.withColumn("n_deleted", F.coalesce(F.array_size("gone"), F.lit(0)))
+    cut = joined.withColumn("text", F.when(F.col("_gone").isNotNull(), left[0]).otherwise(F.col("text")))
+    cut = cut.withColumn("n_deleted", F.coalesce(F.array_size("_gone"), F.lit(0)))
     if "n_chars" in joined.columns:
         kind = joined.schema["n_chars"].dataType
         length = F.when(F.col("n_deleted") > 0, F.length("text").cast(kind))
