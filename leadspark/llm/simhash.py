@@ -28,7 +28,7 @@ SEED = 42
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 #: Fingerprints in the two nodes of a pair that one task takes, at most.
-TASK_FINGERPRINTS = 1 << 16
+TASK_FINGERPRINTS = 1 << 17
 #: Bits that one table of node pairs goes down.
 STEP = 2
 #: Node pairs followed at once, and pairs of fingerprints compared at once, in a task.
@@ -103,6 +103,8 @@ def _pairs(left: np.ndarray, right: np.ndarray | None, depth: int, apart: int, m
     stack = [(0, one, one, np.full(1, apart, np.int8))]
     while stack:
         level, a, b, bits = stack.pop()
+        if not len(a):
+            continue
         if len(a) > FRONT:
             half = len(a) // 2
             stack += [(level, a[:half], b[:half], bits[:half]), (level, a[half:], b[half:], bits[half:])]
@@ -130,13 +132,14 @@ def _pairs(left: np.ndarray, right: np.ndarray | None, depth: int, apart: int, m
         # A tree that has reached single fingerprints ends early: their own bit leads on.
         ca = (a0[a], a1[a]) if a0 is not None else _single(left, sa[a], a, depth + level)
         cb = (b0[b], b1[b]) if b0 is not None else _single(right, sb[b], b, depth + level)
+        grown = []
         for i in (0, 1):
             for j in (0, 1):
                 go = (ca[i] >= 0) & (cb[j] >= 0) & (bits + (i != j) <= most)
                 if same and (i, j) == (1, 0):
                     go &= a != b
-                if go.any():
-                    stack.append((level + 1, ca[i][go], cb[j][go], (bits[go] + (i != j)).astype(np.int8)))
+                grown.append((ca[i][go], cb[j][go], (bits[go] + (i != j)).astype(np.int8)))
+        stack.append((level + 1, *(np.concatenate(parts) for parts in zip(*grown, strict=True))))
 
 
 def _single(values, starts, nodes, depth):
@@ -200,7 +203,7 @@ def _node_pairs(prints: DataFrame, most: int, work: Workspace) -> DataFrame:
         F.lit(0).alias("depth"),
         *(F.lit(0).cast("long").alias(x) for x in ("a", "b")),
         F.lit(0).alias("apart"),
-        (F.lit(prints.count()) <= TASK_FINGERPRINTS // 2).alias("small"),
+        F.lit(False).alias("small"),  # the root is always split, so that tasks share the work
     )
     done = front.where("small")
     depth = 0
