@@ -153,15 +153,17 @@ def fit(listed: DataFrame) -> Model:
     if not names:
         return Model({}, [])
     kept = listed.sparkSession.createDataFrame([(x, i) for i, x in enumerate(names)], "name string, col int")
-    cells = listed.join(F.broadcast(kept), "name").select("key", "grade", "col", "times").toPandas()
-    every = listed.groupBy("key").agg(F.max("grade").alias("grade")).orderBy("key").toPandas()
-    place = {key: i for i, key in enumerate(every["key"])}
-    cells = cells.assign(row=cells["key"].map(place)).sort_values(["row", "col"])
+    # Arrow columns, not rows of Python objects, come to the driver; both are bounded by the sample.
+    cells = listed.join(F.broadcast(kept), "name").select("key", "col", "times").toArrow()
+    every = listed.groupBy("key").agg(F.max("grade").alias("grade")).orderBy("key").toArrow()
+    row = np.searchsorted(every["key"].to_numpy(), cells["key"].to_numpy())
+    col, times = cells["col"].to_numpy(), cells["times"].to_numpy()
+    order = np.lexsort((col, row))
     weights, cuts = fit_cumulative(
-        cells["row"].to_numpy(np.int64),
-        cells["col"].to_numpy(np.int64),
-        np.log1p(cells["times"].to_numpy(float)),
-        every["grade"].to_numpy(np.int64),
+        row[order],
+        col[order].astype(np.int64),
+        np.log1p(times[order].astype(float)),
+        every["grade"].to_numpy().astype(np.int64),
         len(names),
     )
     return Model({x: float(w) for x, w in zip(names, weights, strict=True) if abs(w) > 1e-6}, cuts)
