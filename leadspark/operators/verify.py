@@ -105,13 +105,16 @@ def with_corroboration(
     proof = evidence(leads if corpus is None else corpus, trusted)
     asked = leads.withColumn("investmentFact", fact)
     if corpus is None:
-        asked = asked.withColumn("own", _trusted(url, trusted).cast("int"))
+        # A lead without facts is not among the evidence, and so not to be taken off.
+        listed = F.col("companyName").isNotNull() & F.col("region").isNotNull()
+        asked = asked.withColumn("own", (_trusted(url, trusted) & listed).cast("int"))
     else:
         mine = proof.withColumn("own", F.lit(1))
         asked = split_left_join(asked, mine, FACT_KEY + ["sourceURL"])
     joined = split_left_join(asked, evidence_totals(proof, urls_per_lead), FACT_KEY)
     others = F.coalesce("n_urls", F.lit(0)) - F.coalesce("own", F.lit(0))
-    urls = F.slice(F.array_remove("urls", url), 1, urls_per_lead)
+    rest = F.when(url.isNull(), F.col("urls")).otherwise(F.array_remove("urls", url))
+    urls = F.slice(rest, 1, urls_per_lead)
     return (
         joined.withColumn("corroboratingSources", others.cast("int"))
         .withColumn(

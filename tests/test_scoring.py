@@ -239,6 +239,24 @@ def test_corroboration_by_another_corpus(spark):
         assert row.corroboratingUrls == sorted(expected[row.keyQuote])
 
 
+def test_leads_without_facts_or_url(spark):
+    trusted = "https://reuters.com/1"
+    frame = leads(
+        spark,
+        lead(sourceURL=trusted),
+        lead(sourceURL=trusted, companyName=None),
+        lead(sourceURL=trusted, region=None),
+        lead(sourceURL=None),
+    )
+    rows = verify.with_corroboration(frame).collect()
+    found = {(x.companyName is None, x.region is None, x.sourceURL): x for x in rows}
+    for row in rows:
+        alone = row.sourceURL is not None
+        assert row.corroboratingSources == (0 if alone else 1)
+        assert row.corroboratingUrls == ([] if alone else [trusted])
+    assert len(found) == 4
+
+
 def test_url_lists_are_cut_before_the_shuffle(spark):
     plan = verify.evidence_totals(verify.evidence(leads(spark, LEAD)))
     text = plan._jdf.queryExecution().executedPlan().toString()
