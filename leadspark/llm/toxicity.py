@@ -38,6 +38,8 @@ LEAST_TEXTS = 4
 LEAST_RATIO = 18.0
 PENALTY = 0.3
 STEPS = 200
+#: Cells of the sample that one step of the fit handles at once, for little memory.
+CELLS = 1 << 17
 #: A text with an expected severity from here on is toxic.
 REJECT = 0.5
 WORD = re.compile(r"[^\W\d_]+")
@@ -123,18 +125,23 @@ def fit_cumulative(rows, cols, values, grades: np.ndarray, width: int, penalty=P
     state = np.zeros(width + top)
     state[width] = 1.0
     first, second = np.zeros_like(state), np.zeros_like(state)
+    blocks = [slice(at, at + CELLS) for at in range(0, len(rows), CELLS)]
     beyond = grades[:, None] > np.arange(top)[None, :]
     # Rows of grade g are told from g - 1 by threshold g - 1 and from g + 1 by threshold g.
     near = (np.arange(top)[None, :] == grades[:, None] - 1) | (np.arange(top)[None, :] == grades[:, None])
     for turn in range(1, steps + 1):
         weights, gaps = state[:width], np.exp(np.clip(state[width + 1 :], -6, 6))
         cuts = state[width] + np.concatenate([[0.0], np.cumsum(gaps)])
-        lines = np.bincount(rows, weights[cols] * values, len(grades))
+        lines = np.zeros(len(grades))
+        for x in blocks:
+            lines += np.bincount(rows[x], weights[cols[x]] * values[x], len(grades))
         chance = 1 / (1 + np.exp(np.clip(cuts[None, :] - lines[:, None], -60, 60)))
         slope = np.where(near, chance - beyond, 0.0)
         by_row = slope.sum(axis=1)
         grad = np.empty_like(state)
-        grad[:width] = np.bincount(cols, by_row[rows] * values, width) + penalty * weights
+        grad[:width] = penalty * weights
+        for x in blocks:
+            grad[:width] += np.bincount(cols[x], by_row[rows[x]] * values[x], width)
         grad[width] = -slope.sum()
         tail = -slope.sum(axis=0)[::-1].cumsum()[::-1]
         grad[width + 1 :] = tail[1:] * gaps
@@ -153,19 +160,18 @@ def fit(listed: DataFrame) -> Model:
     if not names:
         return Model({}, [])
     kept = listed.sparkSession.createDataFrame([(x, i) for i, x in enumerate(names)], "name string, col int")
-    # Arrow columns, not rows of Python objects, come to the driver; both are bounded by the sample.
-    cells = listed.join(F.broadcast(kept), "name").select("key", "col", "times").toArrow()
     every = listed.groupBy("key").agg(F.max("grade").alias("grade")).orderBy("key").toArrow()
-    row = np.searchsorted(every["key"].to_numpy(), cells["key"].to_numpy())
-    col, times = cells["col"].to_numpy(), cells["times"].to_numpy()
-    order = np.lexsort((col, row))
-    weights, cuts = fit_cumulative(
-        row[order],
-        col[order].astype(np.int64),
-        np.log1p(times[order].astype(float)),
-        every["grade"].to_numpy().astype(np.int64),
-        len(names),
-    )
+    keys, grades = every["key"].to_numpy(), every["grade"].to_numpy().astype(np.int64)
+    # Arrow columns, not rows of Python objects, come to the driver, and only narrow arrays
+    # of them stay; all are bounded by the sample.
+    cells = listed.join(F.broadcast(kept), "name").select("key", "col", "times").toArrow()
+    row, col = np.searchsorted(keys, cells["key"].to_numpy()).astype(np.int32), cells["col"].to_numpy()
+    values = np.log1p(cells["times"].to_numpy().astype(np.float32))
+    del cells
+    order = np.lexsort((col, row)).astype(np.int32)
+    row, col, values = row[order], col[order], values[order]
+    del order
+    weights, cuts = fit_cumulative(row, col, values, grades, len(names))
     return Model({x: float(w) for x, w in zip(names, weights, strict=True) if abs(w) > 1e-6}, cuts)
 
 
