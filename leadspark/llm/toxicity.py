@@ -17,15 +17,15 @@ that repeat are scored alike; a text is scored whole, however long.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadspark.llm.shared import Workspace
 
@@ -64,16 +64,15 @@ class Model:
 
     def score(self, text: str | None) -> float:
         known = self.weights
-        total = sum(known[x] * np.log1p(n) for x, n in features(text).items() if x in known)
-        return float(sum(1 / (1 + np.exp(np.clip(cut - total, -60, 60))) for cut in self.thresholds))
+        total = sum(known[x] * math.log1p(n) for x, n in features(text).items() if x in known)
+        return sum((1 / (1 + math.exp(min(60, max(-60, cut - total)))) for cut in self.thresholds), 0.0)
 
 
-def _listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for key, grade, text in batch.itertuples(index=False):
-            rows += [(key, grade, name, times) for name, times in features(text).items()]
-        yield pd.DataFrame(rows, columns=["key", "grade", "name", "times"])
+# Plain Python functions: a worker holds a hundred rows at once and loads no data library,
+# so that it takes little of an executor's memory beside the JVM's.
+@F.udf(T.MapType(T.StringType(), T.IntegerType()), useArrow=False)
+def listed_features(text):
+    return dict(features(text))
 
 
 def sample(docs: DataFrame, labels: DataFrame, number: int = SAMPLE) -> DataFrame:
@@ -92,8 +91,8 @@ def sample(docs: DataFrame, labels: DataFrame, number: int = SAMPLE) -> DataFram
 
 def listed_sample(docs: DataFrame, labels: DataFrame, work: Workspace, number: int = SAMPLE) -> DataFrame:
     """(key, grade, name, times): the features of the labelled sample, written once."""
-    schema = "key long, grade int, name string, times int"
-    return work.store(sample(docs, labels, number).mapInPandas(_listed, schema), "features")
+    each = F.explode(listed_features("text")).alias("name", "times")
+    return work.store(sample(docs, labels, number).select("key", "grade", each), "features")
 
 
 def chosen_features(listed: DataFrame, number: int = FEATURES) -> list[str]:
@@ -205,9 +204,8 @@ def fit_labels(docs: DataFrame, labels: DataFrame, number: int = SAMPLE) -> Mode
 def with_severity(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Documents with `severity`, the expected grade."""
 
-    @F.pandas_udf("double")
-    def severity(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([model.score(x) for x in batch], dtype="float64")
+    @F.udf("double", useArrow=False)
+    def severity(text):
+        return model.score(text)
 
     return docs.withColumn("severity", severity(F.col(text)))
