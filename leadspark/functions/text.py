@@ -1,13 +1,11 @@
 """Text of articles: hosts, page clean-up, keywords, prompts."""
 
-from functools import reduce
 from string import Formatter
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from leadspark.config import ARTICLE_MARKER, INLINE_KEYWORDS, PROMPT_TEMPLATE
+from leadspark.config import ARTICLE_MARKER, PROMPT_TEMPLATE
 
 HOST_PATTERN = (
     r"^[a-z][a-z0-9+.-]*://(?:[^/?#\\]*@)?"
@@ -109,42 +107,14 @@ def clean_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(decode_entities(text), BLANKS_PATTERN, " "))
 
 
-def _any_contained(text: Column, keywords: tuple[str, ...]) -> Column:
-    hits = [F.contains(text, F.lit(keyword)) for keyword in keywords]
-    return reduce(lambda left, right: left | right, hits, F.lit(False))
-
-
 def has_keyword(text: Column, keywords: tuple[str, ...]) -> Column:
     """True when any keyword is part of the lower-cased text; the keywords keep their case."""
-    if len(keywords) > INLINE_KEYWORDS:
-        return _automaton_match(tuple(keywords))(text)
     # Short keywords hit most often. The one-element array lower-cases a text once.
-    ordered = tuple(sorted(keywords, key=len))
-    return F.exists(F.array(F.lower(text)), lambda low: _any_contained(low, ordered))
-
-
-def _automaton_match(keywords: tuple[str, ...]):
-    """Long keyword lists: one pass over each text with an Aho-Corasick automaton."""
-
-    @F.pandas_udf("boolean")
-    def match(texts: pd.Series) -> pd.Series:
-        import ahocorasick
-
-        automaton = ahocorasick.Automaton()
-        for keyword in keywords:
-            if keyword:
-                automaton.add_word(keyword, True)
-        automaton.make_automaton()
-        always = "" in keywords
-
-        def hit(text):
-            if text is None:
-                return None
-            return always or next(automaton.iter(text.lower()), None) is not None
-
-        return texts.map(hit)
-
-    return match
+    ordered = F.lit(sorted(keywords, key=len)).cast("array<string>")
+    return F.exists(
+        F.array(F.lower(text)),
+        lambda low: F.exists(ordered, lambda keyword: F.contains(low, keyword)),
+    )
 
 
 def filled(template: str, **values: Column) -> Column:
