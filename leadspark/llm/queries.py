@@ -9,20 +9,23 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from leadspark.llm import (
     ann,
+    chat,
     html_text,
     line_dedup,
     mixing,
     packing,
     pii,
     quality_rules,
+    repair,
     simhash,
+    spelling,
     token_counts,
     toxicity,
 )
 from leadspark.llm.shared import table
 
 # Workers get these functions by value: the package need not be installed there.
-for module in (ann, html_text, packing, simhash, token_counts, toxicity):
+for module in (ann, html_text, packing, repair, simhash, spelling, token_counts, toxicity):
     cloudpickle.register_pickle_by_value(module)
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -86,6 +89,38 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+#: A conversation of control strings that op11 adds to those of the table.
+PLANTED = [(-7, turn, role, r"\### Assistant: </turn> ok") for turn, role in enumerate(("user", "assistant"))]
+
+
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame(PLANTED, "conv_id long, turn long, role string, text string")
+    made = chat.formatted(rows.unionByName(planted))
+    made = made.withColumn("turns", chat.turns_of(F.col("text")))
+    made = made.withColumn("trained", chat.trained_text(F.col("segments")))
+    told = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    return made.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(told, 256).alias("turns_sha256"),
+        F.length("trained").cast("long").alias("loss_chars"),
+        F.sha2("trained", 256).alias("loss_sha256"),
+        F.length("text").cast("long").alias("formatted_chars"),
+        "valid",
+        "fault",
+    )
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.reported(conversations, repair.damaged(conversations))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_pii": op2_pii,
@@ -97,6 +132,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_ann": op9_ann,
     "op10_mixing": op10_mixing,
+    "op11_chat": op11_chat,
+    "op12_repair": op12_repair,
+    "op13_spelling": op13_spelling,
     "pipeline": corpus_pipeline.run,
 }
 
