@@ -119,7 +119,6 @@ CYCLE = "30 minutes"
 REVIEW_WINDOW = "60 seconds"
 
 # Parameters of ours.
-URLS_PER_LEAD = 100        # corroborating URLs carried in a lead row; the evidence table has all
 BROADCAST_ROWS = 100_000   # most rows a side may have to be broadcast
 
 # Words that make a summary sound sensational, for the optional tone check.

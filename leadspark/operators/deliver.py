@@ -75,11 +75,6 @@ def undeliverable(leads: DataFrame) -> DataFrame:
     )
 
 
-def not_yet_sent(payloads: DataFrame, outbox: DataFrame, key: str = "lead_id") -> DataFrame:
-    """At most one alert per lead."""
-    return payloads.dropDuplicates([key]).join(outbox.select(key), key, "left_anti")
-
-
 def lead_report(final: DataFrame) -> DataFrame:
     """Table of approved leads."""
     return final.where(F.col("decision") == "Approved").select(

@@ -2,8 +2,9 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from leadspark import config
 from leadspark.functions.clock import as_of_text
@@ -12,9 +13,16 @@ from leadspark.functions.text import url_host
 from leadspark.operators.joins import split_left_join
 from leadspark.session import broadcast_if_small
 
-FACT_KEY = ["companyName", "region", "investmentFact"]
 # Stands for "any investment": no figure looks like this.
 ANY = "*"
+EVIDENCE = (
+    StructType()
+    .add("evidenceId", "string")
+    .add("sourceURL", "string")
+    .add("companyName", "string")
+    .add("region", "string")
+    .add("investmentFact", "string")
+)
 
 
 def with_reputation(
@@ -47,6 +55,12 @@ def _trusted(url: Column, trusted: Sequence[str]) -> Column:
     return F.coalesce(url_host(url).isin(*trusted), F.lit(False))
 
 
+def evidence_id(company: Column, region: Column, fact: Column) -> Column:
+    """Name of a set of facts; NULL without a company or region."""
+    parts = [F.concat(F.length(x).cast("string"), F.lit(":"), x) for x in (company, region)]
+    return F.left(F.sha2(F.concat(*parts, fact), 256), F.lit(32))
+
+
 def evidence(
     articles: DataFrame, trusted: Sequence[str] = config.TRUSTED_HOSTS
 ) -> DataFrame:
@@ -57,84 +71,94 @@ def evidence(
     for each trusted article.
     """
     facts = F.array_compact(F.array(F.lit(ANY), investment(F.col("summary"))))
-    return (
+    rows = (
         articles.where(_trusted(F.col("sourceURL"), trusted))
         .where("companyName is not null and region is not null")
         .select(
             "companyName", "region", F.explode(facts).alias("investmentFact"), "sourceURL"
         )
-        .distinct()
     )
+    name = evidence_id(F.col("companyName"), F.col("region"), F.col("investmentFact"))
+    named = rows.withColumn("evidenceId", name)
+    # Equal names have equal facts; those that nobody asks for are not shuffled.
+    facts = [F.any_value(c).alias(c) for c in ("companyName", "region", "investmentFact")]
+    return named.groupBy("evidenceId", "sourceURL").agg(*facts)
 
 
-def evidence_totals(
-    proof: DataFrame, urls_per_lead: int = config.URLS_PER_LEAD
-) -> DataFrame:
-    """Number of URLs per set of facts, and the first of them.
+def evidence_totals(proof: DataFrame) -> DataFrame:
+    """Number of URLs per set of facts. A hot set of facts is one number for each task
+    before the shuffle, and totals of parts of the evidence add up."""
+    return proof.groupBy("evidenceId").agg(F.count(F.lit(1)).alias("n_urls"))
 
-    The count is exact. The rank limit is met within each task before the shuffle, so the
-    list of a set of facts stays short even when much of the data reports it.
-    """
-    rank = F.row_number().over(Window.partitionBy(*FACT_KEY).orderBy("sourceURL"))
-    heads = (
-        proof.withColumn("rank", rank)
-        .where(F.col("rank") <= urls_per_lead + 1)
-        .groupBy(*FACT_KEY)
-        .agg(F.array_sort(F.collect_list("sourceURL")).alias("urls"))
-    )
-    totals = proof.groupBy(*FACT_KEY).agg(F.count(F.lit(1)).alias("n_urls"))
-    return totals.join(heads, FACT_KEY)
+
+def with_evidence_id(leads: DataFrame) -> DataFrame:
+    """Add `evidenceId`, the name of the evidence that supports a lead."""
+    fact = F.coalesce(investment(F.col("summary")), F.lit(ANY))
+    return leads.withColumn("evidenceId", evidence_id(F.col("companyName"), F.col("region"), fact))
 
 
 def with_corroboration(
     leads: DataFrame,
     trusted: Sequence[str] = config.TRUSTED_HOSTS,
     corpus: DataFrame | None = None,
-    urls_per_lead: int = config.URLS_PER_LEAD,
+    proof: DataFrame | None = None,
 ) -> DataFrame:
-    """Add `corroboratingSources` and `corroboratingUrls`: other articles of trusted hosts
-    that report the same facts.
+    """Add `corroboratingSources`, the number of other articles of trusted hosts that report
+    the same facts, and `evidenceId`, under which the evidence lists them.
 
     Leads meet totals per set of facts and never each other, so popular facts cost no more
-    than others. `corroboratingSources` counts all articles; a lead carries their first
-    `urls_per_lead` URLs, and evidence() holds the others under the same facts. With
-    `corpus` the articles of another table are asked, else the leads themselves.
+    than others. The evidence is that of the leads themselves, of the articles `corpus`, or
+    the table `proof`.
     """
     url = F.col("sourceURL")
-    fact = F.coalesce(investment(F.col("summary")), F.lit(ANY))
-    proof = evidence(leads if corpus is None else corpus, trusted)
-    asked = leads.withColumn("investmentFact", fact)
-    if corpus is None:
+    asked = with_evidence_id(leads)
+    if proof is None:
+        proof = evidence(leads if corpus is None else corpus, trusted)
+        among = corpus is None
+    else:
+        among = False
+    if among:
         # A lead without facts is not among the evidence, and so not to be taken off.
-        listed = F.col("companyName").isNotNull() & F.col("region").isNotNull()
+        listed = F.col("evidenceId").isNotNull()
         asked = asked.withColumn("own", (_trusted(url, trusted) & listed).cast("int"))
     else:
-        mine = proof.withColumn("own", F.lit(1))
-        asked = split_left_join(asked, mine, FACT_KEY + ["sourceURL"])
-    joined = split_left_join(asked, evidence_totals(proof, urls_per_lead), FACT_KEY)
+        mine = proof.select("evidenceId", "sourceURL", F.lit(1).alias("own"))
+        asked = split_left_join(asked, mine, ["evidenceId", "sourceURL"])
+    joined = split_left_join(asked, evidence_totals(proof), ["evidenceId"])
     others = F.coalesce("n_urls", F.lit(0)) - F.coalesce("own", F.lit(0))
-    rest = F.when(url.isNull(), F.col("urls")).otherwise(F.array_remove("urls", url))
-    urls = F.slice(rest, 1, urls_per_lead)
-    return (
-        joined.withColumn("corroboratingSources", others.cast("int"))
-        .withColumn(
-            "corroboratingUrls", F.coalesce(urls, F.array().cast("array<string>"))
-        )
-        .select(*leads.columns, "corroboratingSources", "corroboratingUrls")
+    return joined.withColumn("corroboratingSources", others.cast("int")).select(
+        *[name for name in leads.columns if name != "evidenceId"], "corroboratingSources", "evidenceId"
     )
 
 
+def corroborating_urls(leads: DataFrame, proof: DataFrame, key: str = "lead_id") -> DataFrame:
+    """(key, sourceURL): every corroborating URL of the leads, one row each.
+
+    `leads` have `evidenceId` and their own `sourceURL`. For all leads this is as long as
+    their counts together; ask for those that somebody looks at.
+    """
+    asked = leads.select(key, "evidenceId", F.col("sourceURL").alias("own"))
+    listed = proof.select("evidenceId", "sourceURL")
+    found = asked.join(listed, "evidenceId")
+    other = F.col("own").isNull() | (F.col("sourceURL") != F.col("own"))
+    return found.where(other).select(key, "sourceURL")
+
+
 def with_verification(leads: DataFrame, as_of: str | None = None) -> DataFrame:
-    """Fold reputation and corroboration into the struct `verification`."""
+    """Fold reputation and corroboration into the struct `verification`.
+
+    The URLs themselves are there where a column has them, else the name of the evidence.
+    """
+    held = [n for n in ("corroboratingUrls", "evidenceId") if n in leads.columns]
     parts = F.struct(
         confidence_score(
             F.col("sourceReputationScore"), F.col("corroboratingSources")
         ).alias("confidenceScore"),
         "sourceReputationScore",
         "corroboratingSources",
-        "corroboratingUrls",
+        *held,
         as_of_text(as_of).alias("lastCheckedTimestamp"),
     )
     return leads.withColumn("verification", parts).drop(
-        "sourceReputationScore", "corroboratingSources", "corroboratingUrls"
+        "sourceReputationScore", "corroboratingSources", *held
     )

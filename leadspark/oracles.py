@@ -56,6 +56,13 @@ def _reputation(trusted=config.TRUSTED_HOSTS) -> str:
     )
 
 
+#: Name of a set of facts.
+EVIDENCE_ID = (
+    "substr(sha256(length(companyName) || ':' || companyName"
+    " || length(region) || ':' || region || {fact}), 1, 32)"
+)
+
+
 def _corroboration(trusted=config.TRUSTED_HOSTS) -> str:
     """Every pair of leads with the same facts, as the definition has it."""
     return f"""
@@ -400,12 +407,23 @@ FROM (SELECT *, {REPLY_ERROR} AS first_error FROM lead)""",
     "fact_extract": _with(LEADS, "SELECT lead_id, companyName, investment, region FROM lead"),
     "corroboration": _with(
         LEADS + "," + _corroboration(),
-        "SELECT lead_id, n_sources, coalesce(urls, '') AS urls FROM backed",
+        f"""
+SELECT lead_id, n_sources, {EVIDENCE_ID.format(fact="coalesce(investment, '*')")} AS evidence_id
+FROM backed JOIN lead USING (lead_id)""",
+    ),
+    "corroboration_urls": _with(
+        LEADS,
+        f"""
+SELECT DISTINCT a.lead_id, b.sourceURL AS url FROM lead a JOIN lead b
+  ON a.companyName = b.companyName AND a.region = b.region
+  AND (a.investment IS NULL OR a.investment = b.investment) AND a.sourceURL <> b.sourceURL
+WHERE a.lead_id % 2 = 0 AND b.host IN ({_list(config.TRUSTED_HOSTS)})""",
     ),
     "corroboration_evidence": _with(
         LEADS,
         f"""
-SELECT DISTINCT companyName, region, investmentFact, sourceURL FROM (
+SELECT DISTINCT {EVIDENCE_ID.format(fact="investmentFact")} AS evidence_id,
+  companyName, region, investmentFact, sourceURL FROM (
   SELECT companyName, region, '*' AS investmentFact, sourceURL, host FROM lead
   UNION ALL SELECT companyName, region, investment, sourceURL, host FROM lead
   WHERE investment IS NOT NULL
@@ -423,8 +441,9 @@ SELECT DISTINCT companyName, region, investmentFact, sourceURL FROM (
         + _verified("n_sources", "lead JOIN backed USING (lead_id)"),
         f"""
 SELECT lead_id, companyName, confidence, reputation, n_given AS n_sources,
-  coalesce(urls, '') AS urls, '{AS_OF}' AS lastCheckedTimestamp
-FROM verified JOIN backed USING (lead_id)""",
+  {EVIDENCE_ID.format(fact="coalesce(investment, '*')")} AS evidence_id,
+  '{AS_OF}' AS lastCheckedTimestamp
+FROM verified""",
     ),
     "business_rules": _with(
         LEADS + "," + _controlled("lead"), "SELECT lead_id, failed, n_failed FROM controlled"
@@ -459,6 +478,15 @@ SELECT lead_id, CAST(quality AS BIGINT) AS quality, 20 - n_failed AS rules_passe
     ),
     "merge_partials": _with(SCORED, f"SELECT {SCORES} FROM scored WHERE opportunityType <> 'Merger'"),
     "merge_partials_stream": _with(SCORED, f"SELECT {SCORES} FROM scored"),
+    "merge_quarantine_stream": """
+WITH halves AS (SELECT o_orderkey AS lead_id, o_orderkey % 7 <> 0 AS v, o_orderkey % 5 <> 0 AS c,
+  abs(CASE WHEN o_orderkey % 13 = 0 THEN 3600 ELSE 0 END + o_orderkey % 301
+    - CASE WHEN o_orderkey % 11 = 0 THEN 3600 ELSE 0 END) <= 600 AS near FROM orders)
+SELECT lead_id, 'both' AS half, 'merged' AS reason FROM halves WHERE v AND c AND near
+UNION ALL SELECT lead_id, 'verification', 'other half missing or late' FROM halves
+  WHERE v AND NOT (c AND near)
+UNION ALL SELECT lead_id, 'internal_qc', 'other half missing or late' FROM halves
+  WHERE c AND NOT (v AND near)""",
     "decision_matrix": _with(
         ENRICHED,
         f"SELECT lead_id, {DECISION} AS decision FROM enriched WHERE first_error IS NULL",

@@ -20,6 +20,7 @@ def score_leads(
     as_of: str | None = None,
     sources: Column | None = None,
     corpus: DataFrame | None = None,
+    proof: DataFrame | None = None,
     trusted: Sequence[str] = config.TRUSTED_HOSTS,
     blocked: Sequence[str] = config.BLOCKED_HOSTS,
     tone: Column | None = None,
@@ -29,7 +30,7 @@ def score_leads(
     The number of corroborating sources is looked up, unless a column gives it.
     """
     if sources is None:
-        backed = with_corroboration(leads, trusted, corpus)
+        backed = with_corroboration(leads, trusted, corpus, proof)
     else:
         backed = leads.withColumns(
             {

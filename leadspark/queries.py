@@ -3,6 +3,7 @@
 Lists are shown joined and times as ISO text, so that results compare as plain values.
 """
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -201,13 +202,14 @@ def corrections_log(spark, sf_dir):
 @query
 def alert_outbox(spark, sf_dir):
     ready = deliver.alerts(decide.route(fixtures.scored(spark, sf_dir))["final-leads"])
-    path = f"{shared_dir(spark, 'alerts')}/outbox"
     rows = ready.select("lead_id", "payload")
-    # The first delivery has the leads of one region; the second one adds all others.
-    ready.where("region = 'ASIA'").select(rows.columns).write.mode("append").parquet(path)
-    outbox = spark.read.parquet(path)
-    deliver.not_yet_sent(rows, outbox).write.mode("append").parquet(path)
-    return spark.read.parquet(path).select(
+    path = f"{shared_dir(spark, 'alerts')}/outbox"
+    outbox = scoring_stream.outbox_table(spark, path, "lead_id", "long")
+    # The first delivery has the leads of one region; the second one all, and it is run again.
+    outbox.add(ready.where("region = 'ASIA'").select(rows.columns), 0)
+    for _ in range(2):
+        outbox.add(rows, 1)
+    return outbox.rows().select(
         "lead_id", F.get_json_object("payload", "$.text").alias("line")
     )
 
@@ -227,6 +229,17 @@ def quarantine_counts(spark, sf_dir):
     return validate.quarantine_counts(analyses.unionByName(refused))
 
 
+def _arriving(spark, sf_dir, name, order, root, batches=5):
+    """A given table as a stream of files, read in about so many micro-batches."""
+    rows = table(spark, sf_dir, name)
+    path = f"{root}/{name}"
+    files = max(batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows.repartitionByRange(files, order).write.parquet(path)
+    written = len(spark.read.parquet(path).inputFiles())
+    each = str(max(1, -(-written // batches)))
+    return tables.file_stream(spark, path, rows.schema, maxFilesPerTrigger=each)
+
+
 # Ingestion and text
 
 
@@ -269,10 +282,9 @@ def _event_stream(spark, sf_dir):
 @query
 def url_dedup_stream(spark, sf_dir):
     root = shared_dir(spark, "dedup")
-    fresh = dedup.new_urls_stream(fixtures.url_feed_of(_event_stream(spark, sf_dir)))
-    with state_partitions(spark):
-        tables.append_stream(fresh, f"{root}/urls", f"{root}/state").awaitTermination()
-    return spark.read.parquet(f"{root}/urls").select("article_url")
+    feed = fixtures.url_feed_of(_arriving(spark, sf_dir, "events", "ts", root))
+    dedup.start_new_urls(feed, f"{root}/seen", f"{root}/state").awaitTermination()
+    return dedup.seen_urls(spark, f"{root}/seen").rows().select("article_url")
 
 
 @query
@@ -417,13 +429,24 @@ def corroboration(spark, sf_dir):
     return lead.select(
         "lead_id",
         long("corroboratingSources").alias("n_sources"),
-        joined("corroboratingUrls").alias("urls"),
+        F.col("evidenceId").alias("evidence_id"),
     )
 
 
 @query
 def corroboration_evidence(spark, sf_dir):
-    return verify.evidence(fixtures.leads(spark, sf_dir))
+    proof = verify.evidence(fixtures.leads(spark, sf_dir))
+    return proof.withColumnRenamed("evidenceId", "evidence_id")
+
+
+@query
+def corroboration_urls(spark, sf_dir):
+    """The whole list of each lead that a construction firm may ask about."""
+    leads = fixtures.leads(spark, sf_dir)
+    asked = verify.with_evidence_id(leads.where("array_contains(potentialNeed, 'Construction Services')"))
+    return verify.corroborating_urls(asked, verify.evidence(leads)).withColumnRenamed(
+        "sourceURL", "url"
+    )
 
 
 @query
@@ -444,7 +467,7 @@ def verification_enrich(spark, sf_dir):
         long("verification.confidenceScore").alias("confidence"),
         long("verification.sourceReputationScore").alias("reputation"),
         long("verification.corroboratingSources").alias("n_sources"),
-        joined("verification.corroboratingUrls").alias("urls"),
+        F.col("verification.evidenceId").alias("evidence_id"),
         "verification.lastCheckedTimestamp",
     )
 
@@ -535,21 +558,45 @@ def merge_partials(spark, sf_dir):
     return decide.merge_partials(halves).select(*_scores("lead_id"))
 
 
-@query
-def merge_partials_stream(spark, sf_dir):
+def _merged_stream(spark, sf_dir, verified, controlled):
+    """A merger that has seen both halves of the leads, made from orders as they arrive."""
     root = shared_dir(spark, "merge")
-    path = f"{sf_dir}/orders.parquet"
-    schema = spark.read.parquet(path).schema
 
     def lead():
-        return fixtures.leads_of(tables.file_stream(spark, path, schema), spark, sf_dir)
+        orders = _arriving(spark, sf_dir, "orders", "o_orderkey", f"{root}/{uuid.uuid4().hex}")
+        return fixtures.leads_of(orders, spark, sf_dir)
 
-    merged = merge.merge_partials_stream(
-        fixtures.verified_half(lead()), fixtures.controlled_half(lead())
-    ).select(*_scores("lead_id"))
-    with state_partitions(spark):
-        tables.append_stream(merged, f"{root}/merged", f"{root}/state").awaitTermination()
-    return spark.read.parquet(f"{root}/merged")
+    feeds = verified(lead()), controlled(lead())
+    types = {name: feed.schema[name].dataType for name, feed in zip(merge.HALVES, feeds, strict=True)}
+    # The files come in any order: a half may be as far behind as the table is long.
+    merger = merge.HalfMerger(spark, f"{root}/halves", delay=10**9, types=types)
+    merge.start_merge(merger, *feeds, f"{root}/state").awaitTermination()
+    merger.finish(merge.last_batch(spark, merger.path))
+    return merger
+
+
+@query
+def merge_partials_stream(spark, sf_dir):
+    merger = _merged_stream(spark, sf_dir, fixtures.verified_half, fixtures.controlled_half)
+    return merger.merged.rows().select(*_scores("lead_id"))
+
+
+@query
+def merge_quarantine_stream(spark, sf_dir):
+    """Some halves never come and some come an hour late, on either side."""
+    key = F.col("lead_id")
+
+    def verified(lead):
+        half = fixtures.verified_half(lead.where(key % 7 != 0))
+        return half.withColumn("ts", F.when(key % 11 == 0, F.col("ts") + F.expr("interval 1 hour")).otherwise(F.col("ts")))
+
+    def controlled(lead):
+        half = fixtures.controlled_half(lead.where(key % 5 != 0))
+        return half.withColumn("ts", F.when(key % 13 == 0, F.col("ts") + F.expr("interval 1 hour")).otherwise(F.col("ts")))
+
+    merger = _merged_stream(spark, sf_dir, verified, controlled)
+    merged = merger.merged.rows().select("lead_id", F.lit("both").alias("half"), F.lit("merged").alias("reason"))
+    return merged.unionByName(merger.quarantine().select("lead_id", "half", "reason"))
 
 
 @query
@@ -750,19 +797,14 @@ def lead_scoring_given(spark, sf_dir):
 @query
 def lead_scoring_stream(spark, sf_dir):
     root = shared_dir(spark, "scoring")
-    path = f"{sf_dir}/orders.parquet"
-    orders = tables.file_stream(spark, path, spark.read.parquet(path).schema)
+    orders = _arriving(spark, sf_dir, "orders", "o_orderkey", root)
     messages = fixtures.raw_messages_of(fixtures.leads_of(orders, spark, sf_dir))
-    scoring_stream.start_scoring(
-        messages,
-        "msg_id",
-        f"{root}/routed",
-        f"{root}/state",
-        corpus=fixtures.leads(spark, sf_dir),
-        trusted=fixtures.WIDE_TRUST,
-        as_of=AS_OF,
-    ).awaitTermination()
-    return spark.read.parquet(f"{root}/routed").select(
+    scorer = scoring_stream.LeadScorer(
+        spark, f"{root}/scored", "msg_id", trusted=fixtures.WIDE_TRUST, as_of=AS_OF
+    )
+    scorer.know(fixtures.leads(spark, sf_dir))
+    scoring_stream.start_scoring(scorer, messages, f"{root}/state").awaitTermination()
+    return scorer.routed().select(
         "msg_id", F.col("destination").cast("string").alias("destination"), "decision", "reason"
     )
 

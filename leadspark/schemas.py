@@ -35,6 +35,7 @@ VERIFICATION = (
     .add("sourceReputationScore", INT)
     .add("corroboratingSources", INT)
     .add("corroboratingUrls", STRINGS)
+    .add("evidenceId", STRING)
     .add("lastCheckedTimestamp", STRING)
 )
 

@@ -43,6 +43,12 @@ def write_batch(
     writer.parquet(f"{path}/batch={batch_id}")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def warehouse_rows(final: DataFrame) -> DataFrame:
     """Final analyses as one JSON column, with the decision and day they are filed under."""
     return final.select(

@@ -2,66 +2,142 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from leadspark import config
 from leadspark.functions import checks
-from leadspark.operators import decide, deliver, validate
+from leadspark.operators import decide, deliver, validate, verify
 from leadspark.plans.lead_scoring import score_leads
 from leadspark.schemas import ANALYSIS
-from leadspark.sources.tables import write_batch
+from leadspark.sources.keyed import KeyedTable
+from leadspark.sources.tables import remove, write_batch
 
+PLACES = ("data", "decision", "reason", "destination")
 
-def routed(
-    messages: DataFrame,
+
+def evidence_table(spark: SparkSession, path: str) -> KeyedTable:
+    """Evidence seen so far: each URL once for a set of facts, filed by the facts."""
+    return KeyedTable(spark, path, verify.EVIDENCE, ["evidenceId", "sourceURL"], ["evidenceId"])
+
+
+def outbox_table(spark: SparkSession, path: str, key: str, kind: str) -> KeyedTable:
+    """Alerts sent so far, one for each lead."""
+    return KeyedTable(spark, path, StructType().add(key, kind).add("payload", "string"), [key])
+
+
+def checked(messages: DataFrame, key: str) -> DataFrame:
+    """Messages as typed leads beside `text` and `first_error`; each is decoded once."""
+    found = validate.check(validate.decode(messages), checks.ANALYSIS)
+    return validate.typed(found, ANALYSIS, key, "text", "first_error")
+
+
+def refused(typed: DataFrame, key: str) -> DataFrame:
+    """Bad messages at their place, as they came."""
+    return typed.where("first_error is not null").select(
+        key,
+        F.col("text").alias("data"),
+        F.lit(None).cast("string").alias("decision"),
+        F.col("first_error").alias("reason"),
+        F.lit("quarantine").alias("destination"),
+    )
+
+
+def decided(
+    typed: DataFrame,
     key: str,
     corpus: DataFrame | None = None,
+    proof: DataFrame | None = None,
     trusted: Sequence[str] = config.TRUSTED_HOSTS,
     as_of: str | None = None,
 ) -> DataFrame:
-    """One row per message and place: key, destination, data (JSON) and reason.
-
-    Good and bad messages go through one plan, so every message is decoded once.
-    """
-    checked = validate.check(validate.decode(messages), checks.ANALYSIS)
-    typed = validate.typed(checked, ANALYSIS, key, "text", "first_error")
-    final = score_leads(typed, as_of=as_of, corpus=corpus, trusted=trusted)
-    bad = F.col("first_error").isNotNull()
-    places = F.when(bad, F.array(F.lit("quarantine"))).otherwise(
-        decide.destinations(F.col("decision"))
-    )
-    data = (
-        F.when(bad, F.col("text"))
-        .when(F.col("destination") == "final-leads", F.to_json(deliver.alert_payload()))
-        .otherwise(F.to_json(decide.final_record()))
-    )
-    return final.withColumn("destination", F.explode(places)).select(
-        key,
-        data.alias("data"),
-        F.when(~bad, F.col("decision")).alias("decision"),
-        F.col("first_error").alias("reason"),
-        "destination",
+    """One row per good message and place: key, data (JSON), decision, reason, destination."""
+    good = typed.where("first_error is null").select(key, *ANALYSIS.fieldNames())
+    final = score_leads(good, as_of=as_of, corpus=corpus, proof=proof, trusted=trusted)
+    data = F.when(
+        F.col("destination") == "final-leads", F.to_json(deliver.alert_payload())
+    ).otherwise(F.to_json(decide.final_record()))
+    places = F.explode(decide.destinations(F.col("decision")))
+    return final.withColumn("destination", places).select(
+        key, data.alias("data"), "decision", F.lit(None).cast("string").alias("reason"), "destination"
     )
 
 
-def start_scoring(
+def routed(
     messages: DataFrame,
     key: str,
-    path: str,
-    checkpoint: str,
     corpus: DataFrame | None = None,
     trusted: Sequence[str] = config.TRUSTED_HOSTS,
     as_of: str | None = None,
-) -> StreamingQuery:
-    """Corroboration asks `corpus`, a table as it stands when a batch begins."""
+) -> DataFrame:
+    """One row per message and place, good and bad ones. Bad ones take no part in joins."""
+    typed = checked(messages, key)
+    return decided(typed, key, corpus, None, trusted, as_of).unionByName(refused(typed, key))
+
+
+class LeadScorer:
+    """Scores batches of messages against evidence that grows with them.
+
+    Evidence lies in buckets by facts. A batch adds the evidence of its own leads, and reads
+    the buckets that its leads have facts in, no others. Alerts go to the outbox, once for
+    each lead, however often a message of it comes. Everything is written under the number
+    of the batch, so that a batch that is run again changes nothing.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        key: str,
+        kind: str = "long",
+        trusted: Sequence[str] = config.TRUSTED_HOSTS,
+        as_of: str | None = None,
+        together: int = 64,
+    ):
+        self.path, self.key, self.trusted, self.as_of = path, key, trusted, as_of
+        self.together = together
+        self.evidence = evidence_table(spark, f"{path}/evidence")
+        self.outbox = outbox_table(spark, f"{path}/outbox", key, kind)
+        self.spark = spark
+
+    def know(self, articles: DataFrame) -> None:
+        """Take articles as evidence from before the first batch."""
+        self.evidence.add(verify.evidence(articles, self.trusted), 0)
+
+    def proof_for(self, leads: DataFrame, number: int) -> DataFrame:
+        """Evidence up to a batch, in the buckets of its leads."""
+        asked = verify.with_evidence_id(leads).where("evidenceId is not null")
+        return self.evidence.rows(number + 1, self.evidence.buckets_of(asked))
+
+    def add(self, messages: DataFrame, number: int) -> None:
+        number += 1  # 0 is what was known before
+        path = f"{self.path}/checked/batch={number}"
+        typed = checked(messages, self.key)
+        typed.write.mode("overwrite").parquet(path)
+        typed = self.spark.read.schema(typed.schema).parquet(path)
+        good = typed.where("first_error is null")
+        self.evidence.add(verify.evidence(good, self.trusted), number)
+        proof = self.proof_for(good, number)
+        final = decided(typed, self.key, None, proof, self.trusted, self.as_of)
+        rows = final.unionByName(refused(typed, self.key))
+        write_batch(rows, f"{self.path}/routed", number, "destination")
+        sent = self.routed().where((F.col("batch") == number) & (F.col("destination") == "final-leads"))
+        self.outbox.add(sent.select(self.key, F.col("data").alias("payload")), number)
+        if number % self.together == 0:
+            self.evidence.compact(number)
+            self.outbox.compact(number)
+        remove(self.spark, path)
+
+    def routed(self) -> DataFrame:
+        """What the batches have sent, with their numbers."""
+        return self.spark.read.parquet(f"{self.path}/routed")
 
-    def score(batch: DataFrame, batch_id: int) -> None:
-        write_batch(routed(batch, key, corpus, trusted, as_of), path, batch_id, "destination")
 
+def start_scoring(scorer: LeadScorer, messages: DataFrame, checkpoint: str) -> StreamingQuery:
     return (
-        messages.writeStream.foreachBatch(score)
+        messages.writeStream.foreachBatch(scorer.add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

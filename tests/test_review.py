@@ -10,6 +10,7 @@ from leadspark import schemas
 from leadspark.operators import decide, deliver, review
 from leadspark.plans.lead_scoring import score_leads
 from leadspark.sources import tables
+from leadspark.streaming.scoring import outbox_table
 from tests.samples import LEAD, lead
 
 FORM = "companyName string, potentialNeed array<string>, opportunityScore int"
@@ -152,10 +153,14 @@ def test_alerts_that_cannot_be_told(spark):
     ]
 
 
-def test_one_alert_per_lead(spark):
-    payloads = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "lead_id int, payload string")
-    outbox = spark.createDataFrame([(1, "a")], "lead_id int, payload string")
-    assert [tuple(row) for row in deliver.not_yet_sent(payloads, outbox).collect()] == [(2, "b")]
+def test_one_alert_per_lead(spark, tmp_path):
+    outbox = outbox_table(spark, str(tmp_path / "outbox"), "lead_id", "long")
+    schema = "lead_id long, payload string"
+    outbox.add(spark.createDataFrame([(1, "a")], schema), 0)
+    second = spark.createDataFrame([(1, "later"), (2, "c"), (2, "b")], schema)
+    for _ in range(2):  # a batch that is run again adds nothing
+        assert [tuple(row) for row in outbox.add(second, 1).collect()] == [(2, "b")]
+    assert sorted(tuple(row) for row in outbox.rows().collect()) == [(1, "a"), (2, "b")]
 
 
 def test_review_log(spark):

@@ -206,21 +206,61 @@ def sample_leads(n):
     ]
 
 
+def urls_by_quote(records, frame, proof):
+    asked = verify.corroborating_urls(verify.with_evidence_id(frame), proof, "keyQuote")
+    found = defaultdict(set)
+    for row in asked.collect():
+        assert row.sourceURL not in found[row.keyQuote]
+        found[row.keyQuote].add(row.sourceURL)
+    return found
+
+
 def test_corroboration_equals_brute_force(spark):
     records = sample_leads(300)
-    limit = 5
-    frame = verify.with_corroboration(leads(spark, *records), urls_per_lead=limit)
+    frame = leads(spark, *records)
+    rows = verify.with_corroboration(frame).collect()
     expected = brute_force(records, records, config.TRUSTED_HOSTS)
-    rows = frame.collect()
+    listed = urls_by_quote(records, frame, verify.evidence(frame))
     assert len(rows) == len(records)
     assert max(row.corroboratingSources for row in rows) > 50
     for row in rows:
-        urls = sorted(expected[row.keyQuote])
-        assert row.corroboratingSources == len(urls)
-        assert row.corroboratingUrls == urls[:limit]
-
-
-def test_evidence_holds_what_rows_leave_out(spark):
+        assert row.corroboratingSources == len(expected[row.keyQuote])
+        assert listed[row.keyQuote] == expected[row.keyQuote]
+
+
+def test_over_a_thousand_sources_are_all_found(spark):
+    records = [lead(keyQuote=f"q{i}", sourceURL=f"https://reuters.com/{i}") for i in range(1500)]
+    records.append(lead(keyQuote="no figure", summary="says nothing", sourceURL="https://a.org/1"))
+    frame = leads(spark, *records)
+    rows = {row.keyQuote: row.corroboratingSources for row in verify.with_corroboration(frame).collect()}
+    assert rows["q7"] == 1499
+    assert rows["no figure"] == 1500
+    asked = frame.where("keyQuote in ('q7', 'no figure')")
+    listed = urls_by_quote(records, asked, verify.evidence(frame))
+    assert listed["q7"] == {f"https://reuters.com/{i}" for i in range(1500) if i != 7}
+    assert len(listed["no figure"]) == 1500
+
+
+def test_evidence_adds_up(spark):
+    """Totals of parts of the evidence without a URL in common add up to those of all."""
+    records = sample_leads(200)
+    proof = verify.evidence(leads(spark, *records)).withColumn("part", F.hash("sourceURL") % 3)
+    parts = [verify.evidence_totals(proof.where(F.col("part") == n)) for n in (-2, -1, 0, 1, 2)]
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    added = every.groupBy("evidenceId").agg(F.sum("n_urls").alias("n_urls"))
+    assert sorted(added.collect()) == sorted(verify.evidence_totals(proof).collect())
+
+
+def test_names_of_facts_are_apart(spark):
+    """Parts of names that meet elsewhere make another name."""
+    frame = leads(spark, lead(companyName="ab", region="c"), lead(companyName="a", region="bc"))
+    rows = verify.with_evidence_id(frame).collect()
+    assert rows[0].evidenceId != rows[1].evidenceId
+
+
+def test_evidence_holds_every_url(spark):
     records = sample_leads(120)
     proof = defaultdict(set)
     for row in verify.evidence(leads(spark, *records)).collect():
@@ -236,7 +276,7 @@ def test_corroboration_by_another_corpus(spark):
     frame = verify.with_corroboration(leads(spark, *records), corpus=leads(spark, *corpus))
     expected = brute_force(records, corpus, config.TRUSTED_HOSTS)
     for row in frame.collect():
-        assert row.corroboratingUrls == sorted(expected[row.keyQuote])
+        assert row.corroboratingSources == len(expected[row.keyQuote])
 
 
 def test_leads_without_facts_or_url(spark):
@@ -253,14 +293,19 @@ def test_leads_without_facts_or_url(spark):
     for row in rows:
         alone = row.sourceURL is not None
         assert row.corroboratingSources == (0 if alone else 1)
-        assert row.corroboratingUrls == ([] if alone else [trusted])
+        known = row.companyName is not None and row.region is not None
+        assert (row.evidenceId is not None) == known
     assert len(found) == 4
 
 
-def test_url_lists_are_cut_before_the_shuffle(spark):
+def test_hot_facts_are_counted_before_the_shuffle(spark):
+    """Neither lists nor windows: one count for each task and set of facts."""
     plan = verify.evidence_totals(verify.evidence(leads(spark, LEAD)))
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in text and "Partial" in text
+    assert "collect" not in text.lower() and "Window" not in text
+    assert "partial_count" in text
+    # The facts themselves are not shuffled for the totals.
+    assert "any_value" not in text
 
 
 def test_hot_facts_are_split(spark):

@@ -1,5 +1,6 @@
 """Streams over several batches give what one batch gives."""
 
+import json
 import uuid
 
 import pytest
@@ -45,16 +46,31 @@ def test_alert_threshold(spark):
     assert [row.n_events for row in decide.review_alerts(events, "60 seconds", 1).collect()] == [2]
 
 
-def test_hot_url_once(spark, tmp_path):
+def hot_urls(spark):
     ids = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("n"),
-        F.timestamp_seconds(F.lit(fixtures.START_SECONDS) + F.col("id") / 10).alias("ts"),
+        F.timestamp_seconds(F.lit(fixtures.START_SECONDS) + F.col("id") * 60).alias("ts"),
     )
-    rows = ids.select(F.concat(F.lit("u"), "n").alias("article_url"), "ts")
-    stream = dedup.new_urls_stream(feed(spark, rows, tmp_path / "in", "ts"))
-    tables.append_stream(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
-    got = [row.article_url for row in spark.read.parquet(str(tmp_path / "out")).collect()]
-    assert len(got) == len(set(got)) == 2001
+    return ids.select(F.concat(F.lit("u"), "n").alias("article_url"), "ts")
+
+
+def test_urls_of_many_batches_are_those_of_one(spark, tmp_path):
+    """Copies two days apart are found; a third of the feed is one URL."""
+    rows = hot_urls(spark)
+    stream = feed(spark, rows, tmp_path / "in", "ts", 5)
+    path, state = str(tmp_path / "seen"), str(tmp_path / "state")
+    dedup.start_new_urls(stream, path, state, together=2).awaitTermination()
+    seen = dedup.seen_urls(spark, path)
+    got = [tuple(row) for row in seen.rows().collect()]
+    first = rows.groupBy("article_url").agg(F.min("ts").alias("ts"))
+    assert sorted(got) == sorted(tuple(row) for row in first.collect())
+    assert len(got) == 2001
+    # The last batch once more: nothing new, nothing lost.
+    before = sorted(tuple(row) for row in seen.batch(4).collect())
+    assert 0 < len(before) < 600
+    seen.add(rows.where(F.col("ts") >= min(row[1] for row in before)), 4)
+    assert sorted(tuple(row) for row in seen.batch(4).collect()) == before
+    assert seen.rows().count() == 2001
 
 
 def halves(spark):
@@ -62,18 +78,73 @@ def halves(spark):
     return fixtures.verified_half(lead_rows), fixtures.controlled_half(lead_rows)
 
 
+def merger_of(spark, path, verified, controlled, **options):
+    feeds = zip(merge.HALVES, (verified, controlled), strict=True)
+    types = {name: half.schema[name].dataType for name, half in feeds}
+    return merge.HalfMerger(spark, str(path), types=types, **options)
+
+
 def test_merge_of_halves(spark, tmp_path):
     verified, controlled = halves(spark)
-    merged = merge.merge_partials_stream(
-        feed(spark, verified, tmp_path / "v", "ts"), feed(spark, controlled, tmp_path / "c", "ts")
-    ).select("lead_id", "verification", "internal_qc")
-    tables.append_stream(merged, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
-    both = verified.drop("ts").unionByName(controlled.drop("ts"), allowMissingColumns=True)
-    expected = decide.merge_partials(both)
-    got = spark.read.parquet(str(tmp_path / "out"))
-    assert sorted(row.lead_id for row in got.collect()) == sorted(
-        row.lead_id for row in expected.collect()
+    merger = merger_of(spark, tmp_path / "out", verified, controlled)
+    feeds = feed(spark, verified, tmp_path / "v", "ts"), feed(spark, controlled, tmp_path / "c", "ts")
+    merge.start_merge(merger, *feeds, str(tmp_path / "state")).awaitTermination()
+    merger.finish(merge.last_batch(spark, merger.path))
+    expected = decide.merge_partials(
+        verified.drop("ts").unionByName(controlled.drop("ts"), allowMissingColumns=True)
     )
+    assert sorted(merger.merged.rows().collect()) == sorted(expected.collect())
+    assert merger.quarantine().count() == 0
+
+
+LONE = [
+    # lead, minute of the verification, minute of the control: None never comes
+    (1, 0, 5), (2, 0, None), (3, None, 1), (4, 0, 40), (5, 40, 0), (6, 3, 12), (7, 100, 100), (8, None, 99),
+]
+
+
+def lone_halves(spark):
+    """Both feeds, and the batch in which each half arrives: every 20 minutes one."""
+    half = {"verification": "struct<confidenceScore:int>", "internal_qc": "struct<qualityScore:int>"}
+    made = []
+    for (name, kind), at in zip(half.items(), (1, 2), strict=True):
+        rows = [(x[0], (x[0],), x[at]) for x in LONE if x[at] is not None]
+        frame = spark.createDataFrame(rows, f"lead_id long, {name} {kind}, minute int")
+        ts = F.timestamp_seconds(F.lit(fixtures.START_SECONDS) + F.col("minute") * 60)
+        made.append(frame.select("lead_id", name, ts.alias("ts"), (F.col("minute") / 20).cast("int").alias("batch")))
+    return made
+
+
+def test_lone_halves_go_to_quarantine(spark, tmp_path):
+    verified, controlled = lone_halves(spark)
+    merger = merger_of(spark, tmp_path / "out", verified, controlled)
+
+    def batch(n):
+        return merger.halves(*(x.where(F.col("batch") == n).drop("batch") for x in (verified, controlled)))
+
+    for number in range(6):
+        merger.add(batch(number), number)
+        if number == 3:  # run again: the same
+            merger.add(batch(number), number)
+    # What has waited long enough is out before the end of the stream.
+    early = {row.lead_id for row in merger.quarantine().collect()}
+    assert early == {2, 3, 4, 5}
+    # A copy of a half that was merged long ago.
+    again = verified.where("lead_id = 1").drop("batch")
+    merger.add(merger.halves(again, controlled.drop("batch").limit(0)), 6)
+    merger.finish(6)
+    assert {row.lead_id for row in merger.merged.rows().collect()} == {1, 6, 7}
+    got = sorted((row.lead_id, row.half, row.reason) for row in merger.quarantine().collect())
+    assert got == [
+        (1, "verification", merge.REPEATED),
+        (2, "verification", merge.LONE), (3, "internal_qc", merge.LONE),
+        (4, "internal_qc", merge.LONE), (4, "verification", merge.LONE),
+        (5, "internal_qc", merge.LONE), (5, "verification", merge.LONE),
+        (8, "internal_qc", merge.LONE),
+    ]
+    assert merger.waiting(7).count() == 0
+    raw = {row.lead_id: row.raw for row in merger.quarantine().collect()}
+    assert raw[2] == '{"confidenceScore":2}'
 
 
 def corpus_of(spark, n):
@@ -107,17 +178,38 @@ def test_messages_find_their_places(spark):
 def test_stream_of_messages(spark, tmp_path):
     frame = spark.createDataFrame(MESSAGES, "msg_id int, data string")
     stream = feed(spark, frame, tmp_path / "in", "msg_id", 3)
-    out, state = str(tmp_path / "out"), str(tmp_path / "state")
-    corpus = corpus_of(spark, 12)
-    scoring.start_scoring(stream, "msg_id", out, state, corpus=corpus).awaitTermination()
-    rows = spark.read.parquet(out).collect()
+    scorer = scoring.LeadScorer(spark, str(tmp_path / "out"), "msg_id", "integer", together=2)
+    scorer.know(corpus_of(spark, 12))
+    scoring.start_scoring(scorer, stream, str(tmp_path / "state")).awaitTermination()
+    rows = scorer.routed().collect()
     assert {(row.msg_id, row.destination) for row in rows} == PLACES
     assert len({row.batch for row in rows}) > 1
-    # A batch that is run again replaces its rows.
-    tables.write_batch(
-        scoring.routed(frame.where("msg_id < 0"), "msg_id", corpus), out, 0, "destination"
-    )
-    assert len(spark.read.parquet(out).collect()) < len(rows)
+    assert {row.msg_id for row in scorer.outbox.rows().collect()} == {1, 2, 3}
+    # A batch that is run again, and a message that comes again, send no second alert.
+    scorer.add(frame.where("msg_id > 4"), 2)
+    assert sorted(scorer.routed().collect()) == sorted(rows)
+    scorer.add(frame.where("msg_id < 3"), 3)
+    assert sorted(row.msg_id for row in scorer.outbox.rows().collect()) == [1, 2, 3]
+
+
+def test_evidence_grows_with_the_batches(spark, tmp_path):
+    """Each batch sees the evidence of the batches up to its own, and no other buckets."""
+    scorer = scoring.LeadScorer(spark, str(tmp_path / "out"), "msg_id", "integer", together=3)
+    records = [lead(companyName=f"C{i % 3}", sourceURL=f"https://reuters.com/{i // 2}") for i in range(40)]
+    seen = {}
+    for number in range(4):
+        part = list(enumerate(records))[number * 10 : number * 10 + 10]
+        messages = [(i, envelope(x)) for i, x in part] + [(100 + number, "%%%")]
+        scorer.add(spark.createDataFrame(messages, "msg_id int, data string"), number)
+        for _, x in part:
+            seen.setdefault(x["companyName"], set()).add(x["sourceURL"])
+        rows = scorer.routed().where(F.col("batch") == number + 1).where("destination <> 'final-leads'").collect()
+        got = {r.msg_id: json.loads(r.data)["verification"]["corroboratingSources"] for r in rows if r.reason is None}
+        assert got == {i: len(seen[x["companyName"]] - {x["sourceURL"]}) for i, x in part}
+        assert {r.msg_id for r in rows if r.reason} == {100 + number}
+    leads = spark.createDataFrame([tuple(records[0][k] for k in LEAD)], ANALYSIS)
+    plan = scorer.proof_for(leads, 9)._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in plan.split("PartitionFilters")[1].split("]")[0]
 
 
 def test_stage_names():
