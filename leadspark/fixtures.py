@@ -9,6 +9,7 @@ from leadspark.functions.clock import from_utc_wall_clock
 from leadspark.operators import quality, review, verify
 from leadspark.plans.lead_scoring import score_leads
 from leadspark.schemas import ANALYSIS_FIELDS
+from leadspark.session import spread
 
 AS_OF = "2024-02-01T00:00:00.000Z"
 START_SECONDS = 1704067200  # 2024-01-01
@@ -89,7 +90,7 @@ def leads_of(orders: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leads_of(table(spark, sf_dir, "orders"), spark, sf_dir)
+    return leads_of(spread(table(spark, sf_dir, "orders")), spark, sf_dir)
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

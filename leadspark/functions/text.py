@@ -1,5 +1,6 @@
 """Text of articles: hosts, page clean-up, keywords, prompts."""
 
+from html.entities import name2codepoint
 from string import Formatter
 
 from pyspark.sql import Column
@@ -24,28 +25,9 @@ TAG_PATTERN = r"<[^>]*>"
 # Leaves single blanks as they are.
 BLANKS_PATTERN = r"\s{2,}|[^\S ]"
 
-# Named characters of HTML that occur in running text. "&amp;" is undone last.
-ENTITIES = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&trade;", "™"),
-    ("&middot;", "·"),
-    ("&bull;", "•"),
-    ("&hellip;", "…"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&lsquo;", "‘"),
-    ("&rsquo;", "’"),
-    ("&ldquo;", "“"),
-    ("&rdquo;", "”"),
-    ("&euro;", "€"),
-    ("&pound;", "£"),
-)
+# Named characters: those of HTML 4, and two that differ. A blank that does not break lines
+# is a blank like any other here.
+NAMED = {**{name: chr(point) for name, point in name2codepoint.items()}, "apos": "'", "nbsp": " "}
 
 
 def url_host(url: Column) -> Column:
@@ -62,30 +44,28 @@ def _code_point(number: Column) -> Column:
     return F.when(known, F.decode(four_bytes, "UTF-32"))
 
 
-def _numeric_entities(text: Column) -> Column:
-    """Undo &#8364; and &#x20AC;: the pieces after "&#" each start with a number."""
+def _decoded(text: Column) -> Column:
+    """The pieces after each "&" begin with a name or number, or stay as they are."""
+    names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
 
     def piece(part: Column, index: Column) -> Column:
-        digits = F.regexp_extract(part, "^([0-9]{1,7});", 1)
-        hex_digits = F.regexp_extract(part, "^[xX]([0-9A-Fa-f]{1,6});", 1)
+        digits = F.regexp_extract(part, "^#0*+([0-9]{1,7}+);", 1)
+        hex_digits = F.regexp_extract(part, "^#[xX]0*+([0-9A-Fa-f]{1,6}+);", 1)
         number = F.when(digits != "", digits.cast("bigint")).when(
             hex_digits != "", F.conv(hex_digits, 16, 10).cast("bigint")
         )
-        rest = F.regexp_replace(part, "^[xX]?[0-9A-Fa-f]+;", "")
+        name = F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]*+);", 1)
+        # Most pieces begin with the one name that every page has.
+        character = F.when(name == "amp", "&").when(name != "", F.try_element_at(names, name))
+        rest = F.substring(part, F.locate(";", part) + 1, F.length(part))
         return F.when(index == 0, part).otherwise(
             F.coalesce(
-                F.concat(_code_point(number), rest), F.concat(F.lit("&#"), part)
+                F.concat(F.coalesce(character, _code_point(number)), rest),
+                F.concat(F.lit("&"), part),
             )
         )
 
-    return F.array_join(F.transform(F.split(text, "&#"), piece), "")
-
-
-def _decoded(text: Column) -> Column:
-    decoded = F.when(F.contains(text, F.lit("&#")), _numeric_entities(text)).otherwise(text)
-    for entity, character in ENTITIES:
-        decoded = F.replace(decoded, F.lit(entity), F.lit(character))
-    decoded = F.replace(decoded, F.lit("&amp;"), F.lit("&"))
+    decoded = F.array_join(F.transform(F.split(text, "&"), piece), "")
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 

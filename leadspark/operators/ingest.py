@@ -6,12 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadspark import config
-from leadspark.functions import text
+from leadspark.functions import text, url
 from leadspark.operators.once import with_once
 
-LINK_PATTERN = r"""(?i)<a\b[^>]*\bhref\s*=\s*["']([^"'#][^"']*)["']"""
-
-
 def cycle_starts(times: DataFrame, ts: str = "ts", step: str = config.CYCLE) -> DataFrame:
     """One row per cycle from the first to the last time in the input."""
     span = times.agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
@@ -53,20 +50,8 @@ def article_refs(found: DataFrame, urls: str = "article_urls") -> DataFrame:
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """Links of landed pages as absolute URLs, in an array column."""
-    origin = F.regexp_extract("url", r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)", 1)
-    scheme = F.regexp_extract("url", r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
-    links = F.regexp_extract_all("html", F.lit(LINK_PATTERN), F.lit(1))
-
-    def absolute(link):
-        return (
-            F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link)
-            .when(link.startswith("//"), F.concat(scheme, link))
-            .when(link.startswith("/"), F.concat(origin, link))
-            .otherwise(F.concat(F.regexp_replace("url", r"^([^?#]*/)[^/]*$", "$1"), link))
-        )
-
-    return pages.select("page_id", F.transform(links, absolute).alias("article_urls"))
+    """Links of landed pages as absolute web addresses, in an array column."""
+    return pages.select("page_id", url.links(F.col("url"), F.col("html")).alias("article_urls"))
 
 
 def new_urls(

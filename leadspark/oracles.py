@@ -347,6 +347,25 @@ SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]+') || link AS article_url,
 FROM (
   SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="(/[^"]*)"', 1)) AS link FROM pages
 )""",
+    "url_resolution": r"""
+WITH base AS (
+  SELECT page_id, split_part(url, '://', 1) AS scheme, split_part(split_part(url, '://', 2), '/', 1) AS host,
+    regexp_replace(url, '[?#].*$', '') AS plain FROM pages
+), folders AS (
+  SELECT *, scheme || '://' || host AS origin, regexp_replace(plain, '[^/]*$', '') AS folder FROM base
+)
+SELECT page_id, 'sibling' AS kind, folder || 's' || page_id AS article_url FROM folders
+UNION ALL SELECT page_id, 'here', folder || 'h' || page_id FROM folders
+UNION ALL SELECT page_id, 'parent', CASE WHEN folder = origin || '/' THEN folder
+  ELSE regexp_replace(folder, '[^/]*/$', '') END || 'p' || page_id FROM folders
+UNION ALL SELECT page_id, 'above the root', origin || '/r' || page_id FROM folders
+UNION ALL SELECT page_id, 'dots within', origin || '/a/c' || page_id FROM folders
+UNION ALL SELECT page_id, 'rooted', origin || '/t' || page_id FROM folders
+UNION ALL SELECT page_id, 'query', plain || '?n=' || page_id || '&m=1' FROM folders
+UNION ALL SELECT page_id, 'host', scheme || '://h' || page_id || '.example.org/y' FROM folders
+UNION ALL SELECT page_id, 'whole', 'https://w' || page_id || '.example.org?q' FROM folders
+UNION ALL SELECT page_id, kind, CAST(NULL AS VARCHAR) FROM folders,
+  (VALUES ('fragment'), ('mail'), ('empty')) AS none(kind)""",
     "url_host": """
 SELECT page_id, CASE WHEN page_id % 6 <> 3
   THEN lower(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)) END AS host FROM pages""",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from leadspark import config, fixtures
 from leadspark.fixtures import AS_OF, table
-from leadspark.functions import checks, envelope, scoring, text
+from leadspark.functions import checks, envelope, scoring, text, url
 from leadspark.functions.clock import utc_iso
 from leadspark.operators import (
     decide,
@@ -249,17 +249,40 @@ def article_discovery(spark, sf_dir):
     return ingest.article_refs(found)
 
 
+@query
+def url_resolution(spark, sf_dir):
+    """A reference of each kind on every page, resolved against the address of the page."""
+    key = F.col("page_id").cast("string")
+    references = {
+        "sibling": F.concat(F.lit("s"), key),
+        "here": F.concat(F.lit("./h"), key),
+        "parent": F.concat(F.lit("../p"), key),
+        "above the root": F.concat(F.lit("../../../../r"), key),
+        "dots within": F.concat(F.lit("/a/./b/../c"), key),
+        "rooted": F.concat(F.lit("/t"), key, F.lit("#part")),
+        "query": F.concat(F.lit("?n="), key, F.lit("&amp;m=1")),
+        "host": F.concat(F.lit("//h"), key, F.lit(".example.org/x/../y")),
+        "whole": F.concat(F.lit(" HTTPS://w"), key, F.lit(".example.org?q ")),
+        "fragment": F.concat(F.lit("#f"), key),
+        "mail": F.concat(F.lit("mailto:m"), key, F.lit("@example.org")),
+        "empty": F.lit(""),
+    }
+    rows = F.array(*(F.struct(F.lit(k).alias("kind"), v.alias("ref")) for k, v in references.items()))
+    each = table(spark, sf_dir, "pages").select("page_id", "url", F.inline(rows))
+    return each.select("page_id", "kind", url.resolved(F.col("url"), F.col("ref")).alias("article_url"))
+
+
 @query
 def url_host(spark, sf_dir):
-    url, key = F.col("url"), F.col("page_id")
-    scheme, rest = F.substring_index(url, "://", 1), F.substring_index(url, "://", -1)
+    page, key = F.col("url"), F.col("page_id")
+    scheme, rest = F.substring_index(page, "://", 1), F.substring_index(page, "://", -1)
     variant = (
-        F.when(key % 6 == 1, F.upper(url))
+        F.when(key % 6 == 1, F.upper(page))
         .when(key % 6 == 2, F.concat(scheme, F.lit("://user:pw@"), rest))
         .when(key % 6 == 3, rest)
-        .when(key % 6 == 4, F.regexp_replace(url, "^([a-z]+://[^/]+)", "$1:8080"))
-        .when(key % 6 == 5, F.concat(F.lit(" "), url, F.lit(" ")))
-        .otherwise(url)
+        .when(key % 6 == 4, F.regexp_replace(page, "^([a-z]+://[^/]+)", "$1:8080"))
+        .when(key % 6 == 5, F.concat(F.lit(" "), page, F.lit(" ")))
+        .otherwise(page)
     )
     return table(spark, sf_dir, "pages").select(
         "page_id", text.url_host(variant).alias("host")
@@ -758,22 +781,25 @@ def alert_payload(spark, sf_dir):
     )
 
 
-def _approved(spark, sf_dir):
+def _approved(spark, sf_dir, *names):
     final = fixtures.scored(spark, sf_dir).select(*FINAL_ANALYSIS.fieldNames())
     approved = tables.warehouse_rows(final).where("decision = 'Approved'")
-    return tables.typed_warehouse(approved, FINAL_ANALYSIS)
+    return tables.typed_warehouse(approved, FINAL_ANALYSIS, *names)
 
 
 @query
 def lead_report(spark, sf_dir):
-    return deliver.lead_report(_approved(spark, sf_dir)).withColumn(
+    names = ("companyName", "summary", "sourceURL", "opportunityScore", "decision")
+    return deliver.lead_report(_approved(spark, sf_dir, *names)).withColumn(
         "opportunityScore", long("opportunityScore")
     )
 
 
 @query
 def region_score_map(spark, sf_dir):
-    return deliver.region_scores(_approved(spark, sf_dir))
+    return deliver.region_scores(
+        _approved(spark, sf_dir, "region", "opportunityScore", "decision")
+    )
 
 
 # Composed jobs

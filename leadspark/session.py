@@ -62,3 +62,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer files than cores, dealt to all cores for costly work on each row."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df._jdf.inputFiles()) < cores else df

@@ -63,11 +63,15 @@ def append_warehouse(final: DataFrame, path: str) -> None:
     rows.write.mode("append").partitionBy("decision_date", "decision").parquet(path)
 
 
-def typed_warehouse(rows: DataFrame, schema: StructType) -> DataFrame:
+def typed_warehouse(rows: DataFrame, schema: StructType, *names: str) -> DataFrame:
     """The JSON column with types again, for reports; unknown fields are dropped.
 
-    Each row is parsed once, and filters on the result do not parse it again. To read one
-    decision only, filter `rows` by it: they are filed by decision and day.
+    With `names` no other fields are parsed, and what rows are filed by is not parsed at
+    all. Each row is parsed once, and filters on the result do not parse it again. To read
+    one decision only, filter `rows` by it: they are filed by decision and day.
     """
-    parsed = rows.select(F.from_json("data", schema).alias("record"))
-    return parsed.select(F.inline(F.array("record")))
+    wanted = names or schema.fieldNames()
+    filed = [name for name in wanted if names and name in rows.columns]
+    asked = StructType([schema[name] for name in wanted if name not in filed])
+    parsed = rows.select(*filed, F.from_json("data", asked).alias("record"))
+    return parsed.select(*filed, F.inline(F.array("record"))).select(*wanted)
