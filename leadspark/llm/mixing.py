@@ -8,7 +8,8 @@ by it, which shuffles them globally. All steps are column expressions.
 
 Edge cases: a NULL source is a source of its own; NULL and empty texts count like others;
 rows alike in doc_id and text get the same count each; a source without weight is left
-out, a weight without documents has no effect; an empty table gives none.
+out, a weight without documents has no effect; an empty table gives none. Other columns
+may have any names.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadspark.llm.shared import Workspace
+from leadspark.llm.shared import Workspace, unused
 
 #: Weight of a source is its number of documents to this power: below 1, small sources gain.
 POWER = 0.5
@@ -73,18 +74,28 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, share: float = SHARE,
     """Documents repeated to the target weights, globally shuffled.
 
     All columns are kept; copy_no counts the copies of a row from 0 to copies - 1, and
-    shuffle_key is the order. Sources may be many: their rates are a written table, which
-    Spark broadcasts or shuffles by its size.
+    shuffle_key is the order (columns of these three names are replaced). Rows alike have
+    the same keys, and are dealt by a row number besides, so that a row that comes very
+    often does not come to one task. Sources may be many: their rates are a written table,
+    which Spark broadcasts or shuffles by its size.
     """
     work = Workspace(docs.sparkSession, "mixing")
+    kept = [name for name in docs.columns if name.lower() not in ("copies", "copy_no", "shuffle_key")]
+    source, upto, row = unused([*docs.columns, "copies", "copy_no", "shuffle_key"], "_source", "_upto", "_row")
     weights = power_weights(docs) if weights is None else weights
     known = rates(docs, weights, share)
-    known = known.select(F.col("source").alias("_source"), distribution(F.col("rate")).alias("_upto"))
+    known = known.select(F.col("source").alias(source), distribution(F.col("rate")).alias(upto))
     known = work.store(known, "rates")
-    joined = docs.join(known, docs["source"].eqNullSafe(known["_source"]))
+    joined = docs.join(known, docs["source"].eqNullSafe(known[source]))
     uniform = draw(F.lit(seed), F.col("doc_id").cast("string"), F.coalesce(F.md5("text"), F.lit("")))
-    copies = F.aggregate("_upto", F.lit(0), lambda n, upto: n + F.when(upto <= F.col("_u"), 1).otherwise(0))
-    counted = joined.withColumn("_u", uniform).withColumn("copies", copies).drop("_u", "_upto", "_source")
-    each = counted.where("copies > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+
+    def counted(u: Column) -> Column:
+        return F.aggregate(upto, F.lit(0), lambda n, p: n + F.when(p <= u, 1).otherwise(0))
+
+    # The one-element array draws once for a document, and not once for each step.
+    copies = F.get(F.transform(F.array(uniform), counted), F.lit(0))
+    made = joined.select(*kept, F.monotonically_increasing_id().alias(row), copies.alias("copies"))
+    each = made.where("copies > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     order = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"), F.md5("text"), F.col("copy_no")))
-    return each.withColumn("shuffle_key", order).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    dealt = each.withColumn("shuffle_key", order).repartition("shuffle_key", row)
+    return dealt.sortWithinPartitions("shuffle_key").drop(row)

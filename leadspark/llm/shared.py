@@ -29,5 +29,16 @@ class Workspace:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """Names for working columns that no column has; upper and lower case are alike."""
+    taken, out = {name.lower() for name in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
