@@ -2,10 +2,12 @@
 
 Base spans are e-mail and IP addresses, card and phone numbers, found by patterns and tests
 on what they match. They are the seeds. Words with a digit or an at sign are instances, and
-what stands around an instance is its patterns: the word before it and the word after it,
-each with the instance's shape. Patterns and instances make a graph that Spark scores in
-rounds: a pattern is as good as the share of its instances that are believed, an instance as
-good as its best pattern, and seeds are believed from the start. Patterns with enough
+what stands around an instance is its patterns: one and two words before it, and after it.
+Patterns and instances make a graph that Spark scores in rounds: a pattern is as good for a
+kind as the share of its instances that are believed to be of it, an instance as good as its
+best pattern, and seeds are believed from the start. Instances known to be of other kinds
+count fully against a pattern, those that nothing is known of a little, if they look at all
+like the kind: that is a loose test, an at sign or a number of digits. Patterns with enough
 different seeds and a score near 1 then name instances no base pattern has found.
 
 Everything is column expressions, groupings and joins. A text is split by a pattern, and
@@ -19,6 +21,8 @@ empty table gives none. Added spans never overlap base spans or one another.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,16 +46,18 @@ INSTANCE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 EDGES = "\"'()[]{}<>,;:.!?"
 
 ROUNDS = 3
-#: A pattern is trusted with this many different seeds and this score, an instance with that.
+#: A pattern is trusted with this many different seeds and this score.
 SEEDS = 5
 TRUSTED = 0.9
-BELIEVED = 0.9
-#: Added to the believed and to all instances of a pattern, so that few count for less.
-PRIOR = (0.0, 0.5)
+#: What an instance that nothing is known of counts against a pattern, beside a known one.
+UNKNOWN = 0.1
+
 
+def _matches(text: Column, pattern: str, passes: Callable[[Column], Column] | None = None) -> Column:
+    """Array of (start, end, s, left, right): matches, and the text up to the next ones.
 
-def _matches(text: Column, pattern: str) -> Column:
-    """Array of (start, end, s, left, right): matches, and the text up to the next ones."""
+    Only those that pass are held: adding to a list costs as much as the list is long.
+    """
     found, parts = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1), F.split(text, pattern, -1)
 
     def located(both: Column) -> Column:
@@ -65,7 +71,9 @@ def _matches(text: Column, pattern: str) -> Column:
                 start.alias("start"), end.alias("end"), s.alias("s"),
                 left.alias("left"), F.get(both["parts"], i + 1).alias("right"),
             )
-            return F.struct(end.alias("at"), F.array_append(state["all"], row).alias("all"))
+            longer = F.array_append(state["all"], row)
+            held = longer if passes is None else F.when(passes(s), longer).otherwise(state["all"])
+            return F.struct(end.alias("at"), held.alias("all"))
 
         places = F.when(F.size(both["found"]) > 0, F.sequence(F.lit(0), F.size(both["found"]) - 1))
         return F.aggregate(F.coalesce(places, F.array().cast("array<int>")), begin, onward, lambda s: s["all"])
@@ -101,15 +109,15 @@ SPAN = "struct<start:int,kind_no:int,kind:string,end:int>"
 
 
 def _spans(text: Column, number: int, kind: str) -> Column:
-    def passes(x: Column) -> Column:
-        return _passes(kind, x["s"])
+    def passes(s: Column) -> Column:
+        return F.coalesce(_passes(kind, s), F.lit(False))
 
     def span(x: Column) -> Column:
         names = {"kind_no": F.lit(number), "kind": F.lit(kind)}
         return F.struct(x["start"].alias("start"), *(v.alias(k) for k, v in names.items()), x["end"].alias("end"))
 
     hint = F.contains(text, F.lit("@")) if HINTS[kind] == "@" else text.rlike(HINTS[kind])
-    found = F.transform(F.filter(_matches(text, KINDS[kind]), passes), span).cast(f"array<{SPAN}>")
+    found = F.transform(_matches(text, KINDS[kind], passes), span).cast(f"array<{SPAN}>")
     return F.when(hint, found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
@@ -119,81 +127,111 @@ def base_spans(text: Column) -> Column:
 
 
 def _instances(text: Column) -> Column:
-    """Array of (start, end, s, before, after): words that may be identifiers, trimmed."""
+    """Array of (start, end, s, patterns): words that may be identifiers, trimmed, and the
+    words around them."""
     edges = F.lit(EDGES)
 
+    def around(mark: str, part: Column, pattern: str) -> Column:
+        words = F.trim(F.lower(F.regexp_extract(part, pattern, 1)), edges)
+        plain = F.regexp_replace(words, r"\s+", " ")
+        return F.when(words != "", F.concat(F.lit(mark), plain))
+
     def trimmed(x: Column) -> Column:
         cut = F.length(x["s"]) - F.length(F.ltrim(x["s"], edges))
         s = F.trim(x["s"], edges)
         start = x["start"] + cut
-        before = F.regexp_extract(x["left"], r"(\S+)\s*$", 1)
-        after = F.regexp_extract(x["right"], r"^\s*(\S+)", 1)
+        patterns = F.array(
+            around("<", x["left"], r"(\S+)\s*$"), around("<<", x["left"], r"(\S+\s+\S+)\s*$"),
+            around(">", x["right"], r"^\s*(\S+)"), around(">>", x["right"], r"^\s*(\S+\s+\S+)"),
+        )
         return F.struct(
             start.alias("start"), (start + F.length(s)).alias("end"), F.lower(s).alias("s"),
-            F.lower(F.trim(before, edges)).alias("before"), F.lower(F.trim(after, edges)).alias("after"),
+            F.array_compact(patterns).alias("patterns"),
         )
 
     found = F.when(text.rlike("[0-9@]"), F.transform(_matches(text, INSTANCE), trimmed))
     return F.filter(found, lambda x: x["s"] != "")
 
 
-def shape(s: Column) -> Column:
-    """Letters and digits by kind, runs of one kind as one sign; other signs as they are."""
-    plain = F.regexp_replace(F.regexp_replace(s, "[0-9]+", "9"), r"[\p{L}]+", "a")
-    return F.regexp_replace(plain, r"(?:a9|9a)[a9]*+", "x")
+def looks_like(kind: str | Column, s: Column) -> Column:
+    """Whether a word could be of a kind at all."""
+    if isinstance(kind, Column):
+        tests = [F.when(kind == name, looks_like(name, s)) for name in KINDS]
+        return F.coalesce(*tests, F.lit(False))
+    if kind == "email":
+        return F.contains(s, F.lit("@"))
+    if kind == "ip":
+        return s.rlike("^[0-9a-f]*[0-9][.:][.:0-9a-f]*$")
+    digits = F.length(_digits(s))
+    plain = ~s.rlike("[^0-9().+-]")
+    return plain & (digits >= 12 if kind == "card" else digits.between(7, 15))
 
 
 def _mentions(found: DataFrame) -> DataFrame:
-    """(row, start, end, s, shape, kind, pattern): instances, a row for each pattern; kind
-    is that of a base span the instance lies in."""
+    """(row, start, end, s, kind, pattern): instances, a row for each pattern; kind is that
+    of a base span the instance lies in."""
     each = found.select("row", "base", F.explode("instances").alias("x"))
     inside = F.filter("base", lambda b: (b["start"] < F.col("x.end")) & (b["end"] > F.col("x.start")))
-    each = each.select("row", "x.*", shape(F.col("x.s")).alias("shape"), F.get(inside, F.lit(0))["kind"].alias("kind"))
-    sides = F.array(
-        F.when(F.col("before") != "", F.concat(F.lit("<"), "before", F.lit(" "), "shape")),
-        F.when(F.col("after") != "", F.concat(F.lit(">"), "after", F.lit(" "), "shape")),
-    )
-    return each.select("row", "start", "end", "s", "shape", "kind", F.explode(sides).alias("pattern")).where(
-        "pattern IS NOT NULL"
-    )
+    kind = F.get(inside, F.lit(0))["kind"]
+    return each.select("row", "x.start", "x.end", "x.s", kind.alias("kind"), F.explode("x.patterns").alias("pattern"))
 
 
-def score_graph(edges: DataFrame, work: Workspace, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """(pattern, kind, score, seeds) and (s, believed) after the rounds.
+def score_graph(edges: DataFrame, work: Workspace, rounds: int = ROUNDS) -> DataFrame:
+    """(pattern, told, score): trusted patterns after the rounds, and the kind they tell.
 
     `edges` has (pattern, s, kind), each once; kind is NULL for what is no seed. Counts of
     a common pattern or instance are sums, made before rows are shuffled.
     """
-    seeds = edges.where("kind IS NOT NULL").select("s", F.lit(1.0).alias("believed")).distinct()
+    seeds = edges.where("kind IS NOT NULL").groupBy("s").agg(F.max("kind").alias("thought"))
+    seeds = seeds.withColumn("believed", F.lit(1.0))
     known, turn = seeds, 0
     while True:
-        told = split_left_join(edges, known.select("s", "believed"), ["s"])
-        patterns = told.groupBy("pattern").agg(
-            F.sum(F.coalesce("believed", F.lit(0.0))).alias("good"),
-            F.count("*").alias("n"),
-            F.count("kind").alias("seeds"),
-            F.mode("kind").alias("kind"),
-        )
-        score = (F.col("good") + PRIOR[0]) / (F.col("n") + PRIOR[1])
-        patterns = work.store(patterns.select("pattern", "kind", "seeds", score.alias("score")), f"patterns-{turn}")
+        told = split_left_join(edges, known, ["s"])
+        unknown = F.col("kind").isNull()
+        sums = []
+        for kind in KINDS:
+            of_kind = F.col("thought").eqNullSafe(F.lit(kind))
+            sums += [
+                F.sum(F.when(of_kind, F.col("believed")).otherwise(0.0)).alias(f"good_{kind}"),
+                F.count_if(F.col("kind") != kind).alias(f"bad_{kind}"),
+                F.count_if(unknown & ~of_kind & looks_like(kind, F.col("s"))).alias(f"open_{kind}"),
+                F.count_if(F.col("kind") == kind).alias(f"seeds_{kind}"),
+            ]
+        patterns = told.groupBy("pattern").agg(*sums)
+        scored = [
+            F.struct(
+                F.coalesce(
+                    F.try_divide(
+                        F.col(f"good_{kind}"),
+                        F.col(f"good_{kind}") + F.col(f"bad_{kind}") + UNKNOWN * F.col(f"open_{kind}"),
+                    ),
+                    F.lit(0.0),
+                ).alias("score"),
+                F.col(f"seeds_{kind}").alias("seeds"),
+                F.lit(kind).alias("told"),
+            )
+            for kind in KINDS
+        ]
+        trusted = patterns.select("pattern", F.greatest(*scored).alias("x")).select("pattern", "x.*")
+        trusted = trusted.where((F.col("seeds") >= SEEDS) & (F.col("score") >= TRUSTED))
+        trusted = work.store(trusted.select("pattern", "told", "score"), f"patterns-{turn}")
         turn += 1
         if turn == rounds:
-            return patterns, known
-        trusted = patterns.where((F.col("seeds") >= SEEDS) & (F.col("score") >= TRUSTED))
-        named = split_left_join(edges, trusted.select("pattern", "score"), ["pattern"]).where("score IS NOT NULL")
-        named = named.groupBy("s").agg(F.max("score").alias("believed"))
-        known = seeds.unionByName(named.join(seeds.select("s"), "s", "left_anti"))
-        known = work.store(known, f"known-{turn}")
+            return trusted
+        named = split_left_join(edges.where("kind IS NULL"), trusted, ["pattern"])
+        named = named.where(looks_like(F.col("told"), F.col("s")))
+        best = F.max(F.struct("score", "told")).alias("best")
+        named = named.groupBy("s").agg(best).select("s", F.col("best.told").alias("thought"), F.col("best.score").alias("believed"))
+        known = work.store(seeds.unionByName(named.join(seeds.select("s"), "s", "left_anti")), f"known-{turn}")
 
 
 def _added(found: DataFrame, work: Workspace) -> DataFrame:
     """(row, added): spans that trusted patterns name."""
     mentions = work.store(_mentions(found), "mentions")
     edges = mentions.groupBy("pattern", "s").agg(F.max("kind").alias("kind"))
-    patterns, _ = score_graph(work.store(edges, "edges"), work)
-    trusted = patterns.where((F.col("seeds") >= SEEDS) & (F.col("score") >= BELIEVED) & F.col("kind").isNotNull())
-    trusted = trusted.select("pattern", F.col("kind").alias("told"), "score")
-    open_ = split_left_join(mentions.where("kind IS NULL"), trusted, ["pattern"]).where("told IS NOT NULL")
+    trusted = score_graph(work.store(edges, "edges"), work)
+    open_ = split_left_join(mentions.where("kind IS NULL"), trusted, ["pattern"])
+    open_ = open_.where(looks_like(F.col("told"), F.col("s")))
     best = open_.groupBy("row", "start", "end").agg(F.max_by("told", F.struct("score", "told")).alias("kind"))
     names = F.array(*map(F.lit, KINDS))
     number = (F.array_position(names, F.col("kind")) - 1).cast("int")

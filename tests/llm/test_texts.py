@@ -90,6 +90,54 @@ def test_patterns_discover_identifiers(spark):
     assert {i for i in found if found[i] != base[i]} == {200}
 
 
+def test_patterns_on_planted_identifiers(spark):
+    """Each kind has a place of its own in the text; some identifiers there have no base
+    form, and words elsewhere look like them."""
+    import random
+
+    random.seed(11)
+    filler = ["la", "que", "de", "in", "the", "of", "nicht", "und", "was", "on"]
+    number = lambda n: "".join(random.choices("0123456789", k=n))
+
+    def words(n):
+        return " ".join(random.choices(filler, k=n))
+
+    rows, planted = [], {}
+    for i in range(600):
+        kind = ("email", "phone", "ip", "none")[i % 4]
+        hidden = i % 5 == 0
+        if kind == "email":
+            lead, it = "write to", f"u{i}@intranet" if hidden else f"u{i}@mail{i}.example"
+        elif kind == "phone":
+            lead, it = "call us:", f"({number(3)}){number(7)}" if hidden else f"+{number(11)}"
+        elif kind == "ip":
+            lead, it = "logged from", f"fe80::{number(4)}:{number(2)}" if hidden else f"10.{i % 250}.3.{i % 99}"
+        else:
+            lead, it = words(2), random.choice(["@home", number(9), "12:30", f"item{i}", number(3)])
+        text = f"{words(8)} {lead} {it} {words(6)} {number(2)} {words(3)}"
+        rows.append((i, text))
+        if hidden and kind != "none":
+            at = text.index(it) + (it[0] == "(")
+            planted[i] = (kind, at, text.index(it) + len(it))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {}
+    for r in pii.find(frame).collect():
+        added = {(x["kind"], x["start"], x["end"]) for x in r["spans"]} - {(x["kind"], x["start"], x["end"]) for x in r["base"]}
+        if added:
+            got[r["doc_id"]] = added
+    right = sum(planted.get(i) in found for i, found in got.items())
+    assert right / sum(map(len, got.values())) >= 0.95
+    assert right / len(planted) >= 0.9
+
+
+def test_patterns_of_two_kinds_are_not_trusted(spark):
+    rows = [(i, f"see also +1555000{1000 + i} x") for i in range(20)] + [(50 + i, f"see also u{i}@m.example x") for i in range(20)]
+    rows += [(90, "see also someone@home x"), (91, None), (92, "@"), (93, "9 " * 5000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in pii.find(frame).collect():
+        assert r["spans"] == r["base"]
+
+
 def test_pii_of_nothing(empty):
     assert pii.find(empty).count() == 0
 
