@@ -147,16 +147,18 @@ def corroborating_urls(leads: DataFrame, proof: DataFrame, key: str = "lead_id")
 def with_verification(leads: DataFrame, as_of: str | None = None) -> DataFrame:
     """Fold reputation and corroboration into the struct `verification`.
 
-    The URLs themselves are there where a column has them, else the name of the evidence.
+    The URLs themselves and the name of the evidence are NULL where no column has them.
     """
-    held = [n for n in ("corroboratingUrls", "evidenceId") if n in leads.columns]
+    kinds = {"corroboratingUrls": "array<string>", "evidenceId": "string"}
+    held = [n for n in kinds if n in leads.columns]
+    given = [F.col(n) if n in held else F.lit(None).cast(t).alias(n) for n, t in kinds.items()]
     parts = F.struct(
         confidence_score(
             F.col("sourceReputationScore"), F.col("corroboratingSources")
         ).alias("confidenceScore"),
         "sourceReputationScore",
         "corroboratingSources",
-        *held,
+        *given,
         as_of_text(as_of).alias("lastCheckedTimestamp"),
     )
     return leads.withColumn("verification", parts).drop(
