@@ -8,10 +8,15 @@ is left out of a region that spans it; within an article it costs nothing.
 
 Pages that mark their main text themselves (one `article` or `main` element, or else one
 with the role `main`) serve as labels, wherever such pages can be found; other pages are
-scored with the weights learned from them.
-
-Edge cases: NULL, empty and tag-only pages give an empty text; markup may be broken (open
-elements end with their parent or the page); repeated rows give equal results; pages are
+scored with the weights learned from them. Words of class and id that those pages have
+around or in their main text speak for an element, words that stand far from it against it.
+Without labels, whole words that name boilerplate decide, not parts of words.
+
+Edge cases: NULL, empty and tag-only pages give an empty text; markup may be broken: a head
+without an end tag ends at the first tag or text of a body, open elements end with their
+parent or the page, open boilerplate also where the main text starts, and a quote that
+nothing closes is a sign like others. An input column `text` is replaced; others, whatever
+their names, are kept. Repeated rows give equal results; pages are
 read whole, in time that grows with their length; without labelled pages fixed weights are
 taken.
 """
@@ -38,6 +43,9 @@ WORD_SCORE = (0.02, 0.5)
 TAG_SCORE = (-12.0, 0.0)
 DROPPED_SCORE = -3.0
 UNSEEN_TAG = -0.3
+#: Log odds of the words of class and id; from OUTSIDE down a word tells boilerplate.
+NAME_SCORE = (-12.0, 12.0)
+OUTSIDE = -3.0
 
 # Names of elements by what they hold, and words in class and id attributes
 # that tell boilerplate.
@@ -55,24 +63,38 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 KEPT_INSIDE = frozenset("article main body html".split())
 BOILERPLATE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adbox adslot banner breadcrumb breadcrumbs "
-    "byline-share comment comments comment-list commentlist consent cookie cookies disqus "
-    "footer gdpr header-menu menu modal nav navbar navigation newsletter notice outbrain pager "
-    "pagination popup promo promoted recommended related share sharing sidebar signup site-footer "
-    "site-header skip social social-share sponsor sponsored subscribe taboola toolbar widget".split()
+    "comment comments commentlist consent cookie cookies disqus footer gdpr menu modal nav navbar "
+    "navigation newsletter notice outbrain pager pagination popup promo promoted recommended "
+    "related share sharing sidebar signup skip social sponsor sponsored subscribe taboola toolbar "
+    "widget".split()
+)
+# Words that say nothing beside the name of boilerplate: "site-footer", "ad-box".
+PLAIN_NAMES = frozenset(
+    "site page main top bottom left right header section block box bar list links container wrapper "
+    "slot unit area content button buttons form form-inline area posts articles link".split()
 )
 BOILERPLATE_ROLES = frozenset(
     "navigation banner complementary contentinfo search dialog alert alertdialog menu form".split()
 )
 
+
+HEAD_ONLY = frozenset("base link meta title style script noscript template head html".split())
+# What no unclosed element of boilerplate holds: the main text, and behind lists of links any text.
+STARTS_MAIN = frozenset("article main h1".split())
+STARTS_TEXT = STARTS_MAIN | frozenset("p section header footer aside nav h2 h3 h4 h5 h6 table pre blockquote".split())
+LINKS = frozenset("nav menu button select option svg canvas dialog object noscript template map audio video".split())
+
+# Attributes are read as browsers do: only a quote right behind `=` opens a quoted value, and
+# a quote that nothing closes is a sign like others. A tag or comment may end with the page.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<close>/)?(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<[!?/][^>]*+>",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    r"|<(?P<close>/)?(?P<name>[a-zA-Z][^\s/>]*+)"
+    r"(?P<attrs>(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+))?+)*+)(?:>|\Z)"
+    r"|<[!?/][^>]*+(?:>|\Z)",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'=<>`]+))?")
-NAMES = re.compile(r"[\s]+")
-
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+))?+")
+PARTS = re.compile(r"[-_]+")
 
 @dataclass
 class Piece:
@@ -85,6 +107,8 @@ class Piece:
     dropped: bool = False
     main: bool = False
     within: bool = False  # an element around is an article or the main one
+    names: tuple[str, ...] = ()  # words of class and id
+    around: tuple[int, ...] = ()  # of the main one: numbers of the pieces that open elements around
 
 
 @dataclass
@@ -95,79 +119,181 @@ class Weights:
     def of(self, piece: Piece) -> float:
         return self.tags.get(piece.kind, UNSEEN_TAG)
 
+    def outside(self, names: tuple[str, ...]) -> bool:
+        """Whether labelled pages have a word of class or id far from the main text, and
+        none of the others near it."""
+        odds = [self.tags[f".{name}"] for name in names if f".{name}" in self.tags]
+        return bool(odds) and min(odds) <= OUTSIDE and max(odds) < 0
+
 
-def _says(name: str, attrs: str) -> tuple[bool, bool]:
-    """Whether an element is boilerplate, and whether it is marked as the main text."""
+def _names_boilerplate(name: str) -> bool:
+    """Whether a whole word of class or id names boilerplate, all parts of it."""
+    if name in BOILERPLATE_NAMES:
+        return True
+    parts = PARTS.split(name)
+    return any(x in BOILERPLATE_NAMES for x in parts) and all(x in BOILERPLATE_NAMES or x in PLAIN_NAMES for x in parts)
+
+
+def _says(name: str, attrs: str, scores: Weights | None) -> tuple[bool, bool, tuple[str, ...]]:
+    """Whether an element is boilerplate, whether it is marked as the main text, and the
+    words of its class and id."""
     if name in DROPPED:
-        return True, False
-    main = name in ("article", "main")
+        return True, False, ()
+    drop, main, names = False, name in ("article", "main"), []
     if not attrs or "=" not in attrs and "hidden" not in attrs:
-        return False, main
+        return False, main, ()
+    seen = set()
     for key, value in ATTRIBUTE.findall(attrs):
-        key, value = key.lower(), value.strip("\"'").lower()
+        key = key.lower()
+        if key in seen:
+            continue  # the first of equal attributes counts
+        seen.add(key)
+        value = (value[1:-1] if value[:1] in ("'", '"') else value).lower()
         if key == "role":
-            if value in BOILERPLATE_ROLES:
-                return True, False
+            drop = drop or value in BOILERPLATE_ROLES
             main = main or value == "main"
         elif key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return name not in KEPT_INSIDE, False
-        elif key in ("class", "id") and name not in KEPT_INSIDE:
-            for word in NAMES.split(value):
-                parts = re.split(r"[-_]+", word)
-                if word in BOILERPLATE_NAMES or parts[0] in BOILERPLATE_NAMES or parts[-1] in BOILERPLATE_NAMES:
-                    return True, False
-    return False, main
-
+            drop = drop or name not in KEPT_INSIDE
+        elif key in ("class", "id"):
+            names += value.split()
+    if name not in KEPT_INSIDE and not main:
+        drop = drop or any(map(_names_boilerplate, names)) or (scores is not None and scores.outside(tuple(names)))
+    return drop, main and not drop, tuple(names)
+
+
+class _Around:
+    """The elements around a place: their names, numbers, and whether they are boilerplate."""
+
+    def __init__(self):
+        self.open: list[tuple[str, int, bool]] = []
+        self.number: Counter = Counter()
+        self.dropping = 0
+
+    def push(self, name: str, at: int, drop: bool = False) -> None:
+        self.open.append((name, at, drop))
+        self.number[name] += 1
+        self.dropping += drop
+
+    def cut(self, depth: int) -> None:
+        """End all elements from this depth on."""
+        for name, _, drop in self.open[depth:]:
+            self.number[name] -= 1
+            self.dropping -= drop
+        del self.open[depth:]
+
+    def within(self) -> bool:
+        return self.number["article"] + self.number["main"] > 0
+
+    def depth(self, name: str, beyond_blocks: bool) -> int | None:
+        """Where the last open element of that name is; one beyond a block may not count."""
+        if not self.number[name]:
+            return None
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.open[i][0] == name:
+                return i
+            if not beyond_blocks and self.open[i][0] in BLOCKS:
+                return None
+        return None
 
-def _within(elements: list[tuple[str, bool]]) -> bool:
-    return any(x in ("article", "main") for x, _ in elements)
+    def starts(self, name: str) -> None:
+        """End what the start tag of an element ends: the head, and the same p or li."""
+        if name not in HEAD_ONLY and self.number["head"]:
+            self.cut(self.depth("head", True))
+        depth = self.depth(name, False) if name in ("p", "li") else None
+        if depth is not None:
+            self.cut(depth)
 
 
-def pieces(page: str) -> list[Piece]:
-    """Tags and texts of a page in order, with the elements they stand in."""
-    found: list[Piece] = []
-    open_: list[tuple[str, bool]] = []  # elements around: name, starts boilerplate
-    dropping = 0
+def _tokens(page: str) -> Iterator[tuple[str, re.Match | None]]:
+    """Texts, and tags, each as (text, tag) with one of the two."""
     at, end = 0, len(page)
     while at < end:
         match = TOKEN.search(page, at)
         stop = match.start() if match else end
         if stop > at:
-            found.append(Piece(text=page[at:stop], dropped=dropping > 0))
+            yield page[at:stop], None
         if not match:
-            break
+            return
         at = match.end()
-        name = (match["name"] or "").lower()
-        if not name:
-            continue  # comment, doctype
-        if match["close"]:
-            inside = dropping > 0
-            depth = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), None)
-            if depth is not None and not (name not in BLOCKS and any(x in BLOCKS for x, _ in open_[depth + 1 :])):
-                dropping -= sum(drop for _, drop in open_[depth:])
-                del open_[depth:]
-            found.append(Piece(name=name, close=True, kind="/" + name, dropped=inside, within=_within(open_)))
+        if match["name"]:
+            yield "", match
+            name = match["name"].lower()
+            if name in RAW and not match["close"]:  # up to its end tag there are no tags
+                close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(page, at)
+                stop = close.start() if close else end
+                if stop > at:
+                    yield page[at:stop], None
+                at = stop
+
+
+def _unclosed(tokens: list[tuple[str, re.Match | None]]) -> set[int]:
+    """Numbers of the start tags that no end tag of their own closes."""
+    around, left = _Around(), set()
+    for i, (_, tag) in enumerate(tokens):
+        name = tag["name"].lower() if tag else ""
+        if not name or name in VOID:
             continue
-        drop, main = _says(name, match["attrs"])
+        if not tag["close"]:
+            around.starts(name)
+            around.push(name, i)
+            left.add(i)
+            continue
+        depth = around.depth(name, name in BLOCKS)
+        if depth is not None:
+            left.discard(around.open[depth][1])
+            around.cut(depth)
+    return left
+
+
+def pieces(page: str, scores: Weights | None = None) -> list[Piece]:
+    """Tags and texts of a page in order, with the elements they stand in.
+
+    Boilerplate that no end tag closes ends with its parent, or where the main text starts;
+    behind lists of links any text ends it.
+    """
+    found: list[Piece] = []
+    tokens = list(_tokens(page))
+    unclosed = _unclosed(tokens)
+    around = _Around()
+    loose: list[tuple[int, str]] = []  # unclosed boilerplate around: depth, name
+    for i, (text, tag) in enumerate(tokens):
+        if tag is None:
+            if around.open and around.open[-1][0] == "head" and not text.isspace():
+                around.cut(len(around.open) - 1)
+            found.append(Piece(text=text, dropped=around.dropping > 0))
+            continue
+        name = tag["name"].lower()
+        if tag["close"]:
+            inside = around.dropping > 0
+            depth = around.depth(name, name in BLOCKS)
+            if depth is not None:
+                around.cut(depth)
+            found.append(Piece(name=name, close=True, kind="/" + name, dropped=inside, within=around.within()))
+            continue
+        around.starts(name)
+        drop, main, names = _says(name, tag["attrs"], scores)
+        while loose and loose[-1][0] >= len(around.open):
+            loose.pop()
+        if main or name in STARTS_TEXT:
+            for at, (depth, over) in enumerate(loose):
+                if main or name in STARTS_MAIN or over in LINKS:
+                    around.cut(depth)
+                    del loose[at:]
+                    break
         if name == "header":  # that of an article is part of it
-            drop = not _within(open_)
+            drop = not around.within()
         kind = f"{name}!" if drop and name not in DROPPED else name
-        if name == "p" or name == "li":  # they end the one before
-            for i in range(len(open_) - 1, -1, -1):
-                if open_[i][0] == name:
-                    dropping -= sum(x for _, x in open_[i:])
-                    del open_[i:]
-                    break
-                if open_[i][0] in BLOCKS:
-                    break
-        found.append(Piece(name=name, kind=kind, dropped=dropping > 0 or drop, main=main, within=_within(open_)))
-        if name in VOID or match["attrs"].endswith("/"):
+        piece = Piece(
+            name=name, kind=kind, dropped=around.dropping > 0 or drop, main=main, within=around.within(), names=names
+        )
+        if main:
+            piece.around = tuple(x for _, x, _ in around.open)
+        found.append(piece)
+        if name in VOID:
             continue
-        if name in RAW:  # up to its end tag there are no tags
-            close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(page, at)
-            at = close.start() if close else end
-        open_.append((name, drop))
-        dropping += drop
+        if drop and i in unclosed and name not in RAW and name != "head":
+            loose.append((len(around.open), name))
+        around.push(name, i, drop)
     return found
 
 
@@ -193,10 +319,14 @@ def counts(page: str | None) -> Counter:
     told: Counter = Counter()
     if span is None:
         return told
+    around = frozenset(found[span[0] - 1].around)
     for i, piece in enumerate(found):
         inside = span[0] <= i < span[1]
         if not piece.dropped:
             told[piece.kind, inside] += 1 if piece.name else len(piece.text.split())
+            near = inside or i == span[0] - 1 or i in around
+            for name in set(piece.names):
+                told[f".{name}", near] += 1
     return told
 
 
@@ -212,7 +342,8 @@ def weights(told: dict[tuple[str, bool], int]) -> Weights:
             return min(high, max(low, math.log(inside / outside)))
         return min(high, max(low, math.log(inside / total[True]) - math.log(outside / total[False])))
 
-    tags = {kind: odds(kind, *TAG_SCORE) for kind in sorted({k for k, _ in told if k})}
+    bounds = {False: TAG_SCORE, True: NAME_SCORE}
+    tags = {kind: odds(kind, *bounds[kind[0] == "."]) for kind in sorted({k for k, _ in told if k})}
     return Weights(odds("", *WORD_SCORE), tags)
 
 
@@ -227,7 +358,7 @@ def fit(pages: DataFrame, number: int = SAMPLE, key: str = "page_id", source: st
     marked = pages.where(F.lower(source).rlike(r"<(article|main)[\s>]|role=.?main"))
     ids = marked.select(key).where(F.col(key).isNotNull()).orderBy(F.xxhash64(key), key).limit(number)
     chosen = pages.join(F.broadcast(ids), key, "left_semi").select(F.col(source).alias("page"))  # `number` ids
-    names = (F.length("kind") <= 24) & F.col("kind").rlike("^/?[a-z][a-z0-9]*!?$|^$")
+    names = (F.length("kind") <= 24) & F.col("kind").rlike(r"^/?[a-z][a-z0-9]*!?$|^\.[a-z][a-z0-9_-]*$|^$")
     total = chosen.mapInPandas(told, "kind string, inside boolean, n long").where(names)
     total = total.groupBy("kind", "inside").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "kind").limit(1000)
     return weights({(row["kind"], row["inside"]): row["n"] for row in total.collect()})
@@ -253,7 +384,7 @@ def _region(found: list[Piece], scores: Weights) -> tuple[int, int]:
 
 def extract(page: str | None, scores: Weights) -> str:
     """Main text, its blocks joined by newlines."""
-    found = pieces(page or "")
+    found = pieces(page or "", scores)
     start, stop = _region(found, scores)
     blocks: list[str] = []
     now: list[str] = []

@@ -202,6 +202,63 @@ def test_pages_without_marks_use_weights_learned_from_others():
     assert "a b c" not in html_text.extract(page, weights) and "x y" not in html_text.extract(page, weights)
 
 
+LINE = "Some long words of the article stand here and go on"
+
+ODD_PAGES = {
+    "head without end tag": (f"<html><head><title>x</title><body><p>{LINE}</p></body></html>", LINE),
+    "head ended by a paragraph": (f"<html><head><title>x</title><p>{LINE}</p>", LINE),
+    "head ended by text": (f"<head><meta charset=utf-8>{LINE}", LINE),
+    "quote in a plain value": (f"<p title=it's>{LINE}</p><p>{LINE} isn't</p>", f"{LINE}\n{LINE} isn't"),
+    "quote that nothing closes": (f'<p title="open>{LINE}</p><p>{LINE}</p>', f"{LINE}\n{LINE}"),
+    "greater sign in a value": (f'<p title="a > b">{LINE}</p>', LINE),
+    "part of a class name": (f'<div class="content no-sidebar"><p>{LINE}</p></div>', LINE),
+    "words of an article": (
+        f'<article><p class="share-price">{LINE}</p><div id="related-work">{LINE}</div></article>',
+        f"{LINE}\n{LINE}",
+    ),
+    "composed names": (f'<div class="site-nav">a b</div><p>{LINE}</p><div class="comment-list">{LINE} bad</div>', LINE),
+    "nav never closed, article": (f"<body><nav><ul><li>a<li>b</ul><article><p>{LINE}</p></article></body>", LINE),
+    "nav never closed, paragraphs": (f"<body><nav><a href=x>a</a><p>{LINE}</p><p>{LINE}</p>", f"{LINE}\n{LINE}"),
+    "sidebar never closed": (f'<div class="sidebar">x y<h1>A title of words</h1><p>{LINE}</p>', f"A title of words\n{LINE}"),
+    "nav ended by its parent": (f"<div><nav><a>x</a></div><p>{LINE}</p>", LINE),
+    "footer never closed": (f"<article><p>{LINE}</p></article><footer><p>{LINE} bad</p></body>", LINE),
+    "comments": (f"<p>{LINE}<!-- <p>bad --> on<!--> x<!-- bad", f"{LINE} on x"),
+    "signs that are no tags": (f"<p>1 < 2 &lt;b&gt; {LINE}</p>", f"1 < 2 <b> {LINE}"),
+    "same attribute twice": (f'<div class="text" class="ad"><p>{LINE}</p></div>', LINE),
+}
+
+
+@pytest.mark.parametrize("name", list(ODD_PAGES))
+def test_odd_markup(name):
+    page, wanted = ODD_PAGES[name]
+    assert html_text.extract(page, html_text.Weights()) == wanted
+
+
+def test_class_words_are_learned():
+    told = Counter()
+    for i in range(60):
+        told.update(html_text.counts(
+            f'<body class="all"><div class="wrap"><div class="zork">Buy {i}</div>'
+            f'<main class="story"><p class="lead zork{i}">{LINE}</p></main></div></body>'
+        ))
+    weights = html_text.weights(told)
+    assert weights.outside(("zork",)) and not weights.outside(("zork", "wrap"))
+    assert not any(weights.outside((x,)) for x in ("wrap", "lead", "zork1", "unknown", "all", "story"))
+    page = f'<div class="wrap"><div class="zork">{LINE} bad</div><p>{LINE}</p></div>'
+    assert html_text.extract(page, weights) == LINE
+    assert html_text.extract(page, html_text.Weights()) != LINE
+
+
+@pytest.mark.parametrize("part", ["<", "<a ", "</a", "<div>", "<p><i>", "<a x='", "<nav><div>", "<!", "<a b", "<li><nav>"])
+def test_time_grows_with_broken_pages(part):
+    import time
+
+    started = time.perf_counter()
+    html_text.extract(part * 20_000, html_text.Weights())
+    html_text.extract("<span>" * 20_000 + part * 20_000 + "</b>" * 20_000, html_text.Weights())
+    assert time.perf_counter() - started < 20
+
+
 def test_region_is_the_best_one():
     random = np.random.default_rng(1)
     for _ in range(200):
