@@ -8,7 +8,8 @@ rule that holds rejects the text, and texts that none covers are kept.
 
 Edge cases: NULL and empty texts have no words, and all statistics are 0; they fail the base
 rule of ten words. With no labels, or only one kind, the list is empty and only the base
-rules decide. Repeated rows are judged alike; whole texts count, however long.
+rules decide. Repeated rows are judged alike, and one of them is learned from; whole texts
+count, however long. Input columns named as the results are replaced, all others are kept.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadspark.llm.shared import Workspace, one_text_each, unused
+
 WINDOW_WORDS = 5
 LEAST_WORDS = 10
 REPEAT_PERCENT = 20
@@ -35,6 +38,9 @@ PRECISION = 0.9
 COVER = 8
 CUTS = 64
 
+COUNTS = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_marks", "n_bars",
+)
 #: Statistics that rules may look at: name -> expression over the counted columns.
 FEATURES = {
     "words": "n_words",
@@ -105,19 +111,20 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     by_lines = _held(
         lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup"))
     )
-    counted = docs.withColumn("_w", by_words).withColumn("_l", by_lines)
+    w, x = unused([*docs.columns, *COUNTS], "_w", "_l")
+    counted = docs.withColumn(w, by_words).withColumn(x, by_lines)
     counts = {
-        "n_words": F.col("_w.n"),
+        "n_words": F.col(f"{w}.n"),
         "word_chars": F.length(F.translate(whole, " \t\n\x0b\f\r", "")),
         "n_symbols": left(SYMBOLS),
-        "n_dup_lines": F.col("_l.dup"),
-        "n_repeat_words": F.col("_w.repeat"),
-        "n_lines": F.col("_l.n"),
+        "n_dup_lines": F.col(f"{x}.dup"),
+        "n_repeat_words": F.col(f"{w}.repeat"),
+        "n_lines": F.col(f"{x}.n"),
         "n_capitals": left("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
         "n_marks": left("!?"),
         "n_bars": left("|"),
     }
-    return counted.withColumns({k: v.cast("long") for k, v in counts.items()}).drop("_w", "_l")
+    return counted.withColumns({k: v.cast("long") for k, v in counts.items()}).drop(w, x)
 
 
 def base_failed() -> Column:
@@ -203,15 +210,21 @@ def learn(data: dict[str, np.ndarray], bad: np.ndarray, held: np.ndarray) -> lis
     return rules
 
 
-def fit(stats: DataFrame, labels: DataFrame, number: int = SAMPLE) -> list[Rule]:
-    """Rules from labels (doc_id, quality 0 or 1), on at most `number` labelled texts that
-    pass the base rules. `stats` is docs.with_statistics; only its labelled rows are used."""
-    mark = F.xxhash64("doc_id")
-    known = labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    known = known.where("doc_id IS NOT NULL").orderBy(mark, "doc_id").limit(number)
+def fit(docs: DataFrame, labels: DataFrame, number: int = SAMPLE) -> list[Rule]:
+    """Rules from labels (doc_id, quality 0 or 1), on at most `number` labelled texts, of
+    which those that pass the base rules are learned from. A document with several labels
+    takes the lower one."""
+    work = Workspace(docs.sparkSession, "quality")
+    known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
+    known = known.agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(number)
+    known = work.store(known, "known")
+    # Written once, so that neither the base rules nor the features count the words again.
+    stats = with_statistics(one_text_each(docs, known)).select("doc_id", *COUNTS)
+    stats = work.store(stats, "sample").join(F.broadcast(known), "doc_id")  # `number` rows of two numbers
     columns = [F.expr(x).cast("double").alias(name) for name, x in FEATURES.items()]
-    rows = stats.join(F.broadcast(known), "doc_id").where(~base_failed())  # at most `number` rows of two numbers
-    found = rows.select(mark.alias("mark"), "quality", *columns).orderBy("mark").collect()  # `number` rows of numbers
+    rows = stats.where(~base_failed()).select("doc_id", F.xxhash64("doc_id").alias("mark"), "quality", *columns)
+    found = sorted(rows.collect(), key=lambda row: (row["mark"], row["doc_id"]))  # `number` rows of numbers
+    work.keep()
     if not found:
         return []
     data = {name: np.array([row[name] for row in found]) for name in FEATURES}
@@ -233,13 +246,7 @@ def verdict(rules: list[Rule]) -> Column:
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents with statistics, base_failed, rule (the one that rejects) and kept."""
-    labelled = docs.select("doc_id", "text").join(F.broadcast(_sampled(labels)), "doc_id", "left_semi")
-    rules = fit(with_statistics(labelled), labels)
+    rules = fit(docs, labels)
     stats = with_statistics(docs).withColumn("base_failed", base_failed())
     stats = stats.withColumn("rule", verdict(rules))
     return stats.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
-
-
-def _sampled(labels: DataFrame, number: int = SAMPLE) -> DataFrame:
-    ids = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(number)

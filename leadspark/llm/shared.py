@@ -7,6 +7,7 @@ executor costs only its own tasks, and every later read sees the same rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from leadspark.session import shared_dir
 
@@ -26,7 +27,18 @@ class Workspace:
     def drop(self, name: str) -> None:
         """Remove a table that a later one has replaced."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._files(path).delete(path, True)
+
+    def keep(self, *names: str) -> None:
+        """Remove all tables but these, which a result still reads."""
+        base = self.spark._jvm.org.apache.hadoop.fs.Path(self.base)
+        files = self._files(base)
+        for found in files.listStatus(base) if files.exists(base) else ():
+            if found.getPath().getName() not in names:
+                files.delete(found.getPath(), True)
+
+    def _files(self, path):
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
 
 def unused(columns: list[str], *names: str) -> list[str]:
@@ -40,5 +52,12 @@ def unused(columns: list[str], *names: str) -> list[str]:
     return out
 
 
+def one_text_each(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text): the documents whose ids are in `ids`, a bounded sample, each once. Of
+    different texts under one id the one with the smallest hash is taken."""
+    found = docs.select("doc_id", "text").join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi")
+    return found.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
