@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from leadspark.llm.shared import Workspace
+from leadspark.llm.shared import Workspace, unused
 
 SIZE = 2048
 END = 0
 #: Chunks of text whose ids a task remembers; then it starts anew.
 REMEMBERED = 600_000
 #: Pieces of one length that one task ranks, about.
-RANKED = 20_000
+RANKED = 2_000
 
 PIECES = T.StructType(
     [
@@ -141,34 +141,43 @@ def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, int, int,
     return rows
 
 
-def pack(found: DataFrame, size: int = SIZE, order: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
+def pack(found: DataFrame, size: int = SIZE) -> DataFrame:
     """Pieces (with a column `length` of 1 to `size`) with sequence_id and offset.
 
-    `order` names columns that tell pieces apart; all columns are kept. The pieces are
-    written once, so wide columns are better derived before (or joined after).
+    All columns are kept, whatever their names; those two replace columns of their name. The
+    pieces are written once, so wide columns are better derived before (or joined after).
+    They are told apart by a number of their own, so rows that repeat, or have no id, are
+    ranked by many tasks like others.
     """
     spark = found.sparkSession
     work = Workspace(spark, "packing")
-    found = work.store(found, "pieces")
-    counts = {row["length"]: row["n"] for row in found.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    names = ("_length", "_from", "_until", "_sequence", "_each", "_at")
-    schema = T.StructType([T.StructField(name, T.LongType()) for name in names])
+    kept = [name for name in found.columns if name.lower() not in ("sequence_id", "offset")]
+    taken = [*found.columns, "sequence_id", "offset"]
+    row, parts, part, rank, nth, n, before = unused(
+        taken, "_row", "_parts", "_part", "_rank", "_nth", "_n", "_before"
+    )
+    slot = unused(taken, "_length", "_from", "_until", "_sequence", "_each", "_at")
+    found = work.store(found.select(*kept, F.monotonically_increasing_id().alias(row)), "pieces")
+    counts = {x["length"]: x["n"] for x in found.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    schema = T.StructType([T.StructField(name, T.LongType()) for name in slot])
     # A few rows for each of at most `size` lengths.
     slots = work.store(spark.createDataFrame(plan(counts, size), schema), "plan")
     # Ranks within a length: by parts of bounded size, after the parts' counts.
-    parts = max(1, -(-max(counts.values(), default=0) // RANKED))
-    found = found.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(parts)))
-    before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = found.groupBy("length", "_part").agg(F.count("*").alias("_n"))
-    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    sizes = work.store(sizes.drop("_n"), "parts")
-    within = Window.partitionBy("length", "_part").orderBy(*order)
-    ranked = found.withColumn("_rank", F.row_number().over(within) - 1)
-    ranked = ranked.join(sizes, ["length", "_part"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
-    here = (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_until"))
-    placed = ranked.join(slots, here).withColumn("_nth", F.col("_rank") - F.col("_from"))
+    numbers = [(length, -(-number // RANKED)) for length, number in counts.items()]  # at most `size`
+    numbers = spark.createDataFrame(numbers, f"length long, {parts} long")
+    found = found.join(F.broadcast(numbers), "length").withColumn(part, F.pmod(F.xxhash64(row), F.col(parts)))
+    earlier = Window.partitionBy("length").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = found.groupBy("length", part).agg(F.count("*").alias(n))
+    sizes = sizes.withColumn(before, F.coalesce(F.sum(n).over(earlier), F.lit(0)))
+    sizes = work.store(sizes.drop(n), "parts")
+    within = Window.partitionBy("length", part).orderBy(row)
+    ranked = found.withColumn(rank, F.row_number().over(within) - 1)
+    ranked = ranked.join(sizes, ["length", part]).withColumn(rank, F.col(rank) + F.col(before))
+    length_, from_, until, sequence, each, at = map(F.col, slot)
+    here = (F.col("length") == length_) & (F.col(rank) >= from_) & (F.col(rank) < until)
+    placed = ranked.join(slots, here).withColumn(nth, F.col(rank) - from_)
     return placed.select(
-        *(c for c in found.columns if c != "_part"),
-        (F.col("_sequence") + F.expr("_nth div _each")).alias("sequence_id"),
-        (F.col("_at") + F.pmod("_nth", "_each") * F.col("length")).alias("offset"),
+        *kept,
+        (sequence + F.expr(f"{nth} div {slot[4]}")).alias("sequence_id"),
+        (at + F.pmod(F.col(nth), each) * F.col("length")).alias("offset"),
     )
