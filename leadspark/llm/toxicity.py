@@ -12,7 +12,8 @@ Scoring is one pass over all texts.
 
 Edge cases: NULL and empty texts have no features and get the severity of the thresholds
 alone; without labels of both kinds nothing can be learned, and all texts score 0; rows
-that repeat are scored alike; a text is scored whole, however long.
+that repeat are scored alike; a text is scored whole, however long. An input column
+`severity` is replaced, all others are kept.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadspark.llm.shared import Workspace
+from leadspark.llm.shared import Workspace, one_text_each
 
 #: Labelled texts used for fitting: those with the smallest hashes, this many of each class.
 SAMPLE = 6_000
@@ -78,14 +79,15 @@ def listed_features(text):
 def sample(docs: DataFrame, labels: DataFrame, number: int = SAMPLE) -> DataFrame:
     """(key, grade, text): labelled texts, at most `number` with grade 0 and with others.
 
-    `labels` has doc_id and grade. A document with several labels takes the highest.
+    `labels` has doc_id and grade. A document with several labels takes the highest, and one
+    with several rows counts once.
     """
     graded = labels.where("doc_id IS NOT NULL AND grade IS NOT NULL").groupBy("doc_id")
     graded = graded.agg(F.max("grade").cast("int").alias("grade"))
     mark = F.xxhash64("doc_id")
     chosen = [graded.where(x).orderBy(mark, "doc_id").limit(number) for x in ("grade = 0", "grade > 0")]
-    chosen = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most twice `number` rows of two numbers
-    found = docs.select("doc_id", "text").join(chosen, "doc_id")
+    chosen = chosen[0].unionByName(chosen[1])  # at most twice `number` rows of two numbers
+    found = one_text_each(docs, chosen).join(F.broadcast(chosen), "doc_id")
     return found.select(F.col("doc_id").cast("long").alias("key"), "grade", "text")
 
 
@@ -198,7 +200,9 @@ def fit_labels(docs: DataFrame, labels: DataFrame, number: int = SAMPLE) -> Mode
     """Model of labels (doc_id, toxic 0 or 1) with derived grades."""
     work = Workspace(docs.sparkSession, "toxicity")
     flags = labels.select("doc_id", F.col("toxic").alias("grade"))
-    return fit(graded(listed_sample(docs, flags, work, number)))
+    model = fit(graded(listed_sample(docs, flags, work, number)))
+    work.keep()
+    return model
 
 
 def with_severity(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
