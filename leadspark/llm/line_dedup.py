@@ -27,29 +27,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from leadspark.llm.shared import Workspace
+from leadspark.llm.shared import Workspace, unused
 from leadspark.operators.joins import split_left_join
 
-MIN_WORDS = 5
+#: Runs with fewer words stay; 1: runs of any length go.
+MIN_WORDS = 1
 PLACE = ["ord", "idx"]
 BLANKS = " \t\r\x0b\f"
 
 
-def _numbered(docs: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
-    """Documents with a row number, and (row number, ord): numbers in the order of doc_id."""
-    rows = work.store(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    keys = rows.select("_row", "doc_id", F.xxhash64("text").alias("_mark"))
+def _numbered(docs: DataFrame, row: str, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """Documents with a row number, and (_row, ord): numbers in the order of doc_id."""
+    rows = work.store(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    keys = rows.select(F.col(row).alias("_row"), "doc_id", F.xxhash64("text").alias("_mark"))
     keys = keys.orderBy(F.col("doc_id").asc_nulls_last(), "_mark", "_row")
     order = work.store(keys.select("_row", F.monotonically_increasing_id().alias("ord")), "order")
     return rows, order
 
 
-def _lines(rows: DataFrame, order: DataFrame) -> DataFrame:
+def _lines(rows: DataFrame, row: str, order: DataFrame) -> DataFrame:
     """(ord, idx, line, h, g, w): lines that are not blank with their words; idx counts them."""
     trimmed = F.transform(
         F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), F.trim(x, F.lit(BLANKS)).alias("t"))
     )
-    held = rows.select("_row", F.posexplode(F.filter(trimmed, lambda x: x["t"] != "")).alias("idx", "x"))
+    lines = F.posexplode(F.filter(trimmed, lambda x: x["t"] != "")).alias("idx", "x")
+    held = rows.select(F.col(row).alias("_row"), lines)
     held = held.select(
         "_row", "idx", F.col("x.line").alias("line"),
         F.xxhash64("x.t").alias("h"), F.xxhash64(F.lit(1), "x.t").alias("g"),
@@ -164,32 +166,34 @@ def _deleted(lines: DataFrame, runs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS, drop_emptied: bool = False) -> DataFrame:
     """Documents without the later copies of repeated runs of lines.
 
-    All columns are kept; n_chars follows the text where there is such a column, and
-    n_deleted counts the deleted lines.
+    All columns are kept, whatever their names; n_chars follows the text where there is such
+    a column, and n_deleted, which replaces a column of that name, counts the deleted lines.
     """
     work = Workspace(docs.sparkSession, "lines")
-    rows, order = _numbered(docs, work)
-    lines = work.store(_lines(rows, order), "lines")
+    row, cut = unused([*docs.columns, "n_deleted"], "_row", "_gone")
+    rows, order = _numbered(docs, row, work)
+    lines = work.store(_lines(rows, row, order), "lines")
     runs = work.store(_runs(_doubled(lines.drop("line"), work), min_words, work), "runs")
-    gone = _deleted(lines, runs).join(order, "ord").select("_row", F.col("gone").alias("_gone"))
+    gone = _deleted(lines, runs).join(order, "ord").select(F.col("_row").alias(row), F.col("gone").alias(cut))
     # Deletions grow with the corpus: never broadcast.
-    joined = rows.join(work.store(gone, "deleted").hint("merge"), "_row", "left")
-    return _rebuilt(joined, drop_emptied).drop("_row", "_gone")
+    joined = rows.join(work.store(gone, "deleted").hint("merge"), row, "left")
+    work.keep("rows", "deleted")
+    return _rebuilt(joined, cut, drop_emptied).drop(row, cut)
 
 
-def _rebuilt(joined: DataFrame, drop_emptied: bool) -> DataFrame:
+def _rebuilt(joined: DataFrame, gone: str, drop_emptied: bool) -> DataFrame:
     every = F.split("text", "\n")
     left = F.transform(  # the outer array names the lines, so that they are split once
         F.array(every),
         lambda lines: F.array_join(
             F.transform(
-                F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone")), lambda i: F.get(lines, i)
+                F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone)), lambda i: F.get(lines, i)
             ),
             "\n",
         ),
     )
-    cut = joined.withColumn("text", F.when(F.col("_gone").isNotNull(), left[0]).otherwise(F.col("text")))
-    cut = cut.withColumn("n_deleted", F.coalesce(F.array_size("_gone"), F.lit(0)))
+    cut = joined.withColumn("text", F.when(F.col(gone).isNotNull(), left[0]).otherwise(F.col("text")))
+    cut = cut.withColumn("n_deleted", F.coalesce(F.array_size(gone), F.lit(0)))
     if "n_chars" in joined.columns:
         kind = joined.schema["n_chars"].dataType
         length = F.when(F.col("n_deleted") > 0, F.length("text").cast(kind))
