@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadspark.llm.components import components
-from leadspark.llm.shared import Workspace
+from leadspark.llm.shared import Workspace, unused
 from leadspark.operators.joins import split_left_join
 
 SEED = 42
@@ -266,6 +266,7 @@ def near_duplicates(
     least = work.store(least, "rooted")
     groups = least.groupBy("root").agg(F.min("least").alias("component_id"))
     known = work.store(least.join(groups, "root").select("fp", "root", "component_id"), "known")
+    work.keep("fingerprints", "known")
     return split_left_join(thin, known, ["fp"]).withColumnRenamed("key", key)
 
 
@@ -273,10 +274,11 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     """Documents without near copies: of each component the row with the smallest doc_id.
 
     Rows alike in doc_id and text count as one; among rows with that doc_id and different
-    texts, the one with the smaller text hash stays. All columns are kept.
+    texts, the one with the smaller text hash stays. All columns are kept, whatever their names.
     """
     found = near_duplicates(docs, **options)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
-    chosen = found.groupBy("root").agg(F.min_by(F.struct("doc_id", "text_hash"), order).alias("_of"))
-    marked = docs.withColumn("_of", F.struct("doc_id", F.xxhash64("text").alias("text_hash")))
-    return marked.join(chosen.select("_of"), "_of", "left_semi").dropDuplicates(["_of"]).drop("_of")
+    (of,) = unused(docs.columns, "_of")
+    chosen = found.groupBy("root").agg(F.min_by(F.struct("doc_id", "text_hash"), order).alias(of))
+    marked = docs.withColumn(of, F.struct("doc_id", F.xxhash64("text").alias("text_hash")))
+    return marked.join(chosen.select(of), of, "left_semi").dropDuplicates([of]).drop(of)
