@@ -165,7 +165,7 @@ def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 6, F.to_json(F.array(F.struct(text, url, domain))))
         .otherwise(F.to_json(F.struct(text, url, domain)))
     )
-    return table(spark, sf_dir, "documents").select("doc_id", body.alias("body"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", body.alias("body"))
 
 
 def raw_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,31 +38,31 @@ def event_data(event: Column) -> Column:
 END = "#end-of-record#"
 
 
+def _listed(text: Column) -> Column:
+    """(list, mark): the text as the first of two items of a list, and the second one."""
+    # A text may spell the mark, or escape its letters. No text can hold more characters
+    # than it has itself, so that such a text gets a mark longer than it is.
+    spelled = F.contains(text, F.lit(END)) | F.contains(text, F.lit("\\u"))
+    longer = F.repeat(F.lit("#"), F.length(text) + 1)
+    mark = F.when(spelled, longer).otherwise(F.lit(END))
+    listed = F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]'))
+    return F.struct(F.try_parse_json(listed).alias("list"), mark.alias("mark"))
+
+
 def strict_json(text: Column) -> Column:
     """Parse exactly one JSON value; NULL when anything else stands around it.
 
     The parser stops after the first value. So the text is read as the first of two items
     of a list, and the second one, our mark, must come out behind it: a text that closes
-    the list early loses the mark, and one that brings more items moves it.
+    the list early loses the mark, and one that brings more items moves it. The
+    one-element array parses a text once, whatever becomes of the column.
     """
-    listed = F.try_parse_json(
-        F.when(
-            ~F.contains(text, F.lit(END)),
-            F.concat(F.lit("["), text, F.lit(f',"{END}"]')),
-        ).otherwise(_twice_closed(text))
-    )
-    marked = F.try_variant_get(listed, "$[1]", "string") == END
-    return F.when(marked, F.try_variant_get(listed, "$[0]", "variant"))
 
+    def first(held: Column) -> Column:
+        marked = F.try_variant_get(held["list"], "$[1]", "string") == held["mark"]
+        return F.when(marked, F.try_variant_get(held["list"], "$[0]", "variant"))
 
-def _twice_closed(text: Column) -> Column:
-    """A text that holds the mark itself: no text ends both wrappers early."""
-    in_list = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    in_field = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    return F.when(
-        in_list.isNotNull() & in_field.isNotNull(),
-        F.concat(F.lit("["), text, F.lit(f',"{END}"]')),
-    )
+    return F.get(F.transform(F.array(_listed(text)), first), F.lit(0))
 
 
 def rejection(data: Column, value: Column) -> Column:

@@ -261,6 +261,10 @@ def _with(parts: str, select: str) -> str:
 
 SCORES = "lead_id, confidence, CAST(quality AS BIGINT) AS quality"
 
+CATALOG_WORDS = (
+    "SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]{5,}')) AS keyword FROM benchmark"
+)
+
 ORACLES = {
     "source_catalog": f"""
 SELECT source_url, source_type, count(*) AS n_pages
@@ -296,6 +300,12 @@ FROM lead""",
 SELECT keyword, count(doc_id) AS n_articles
 FROM (VALUES {_rows((word,) for word in config.KEYWORDS)}) AS listed(keyword)
 LEFT JOIN documents ON contains(lower(text), keyword) GROUP BY keyword""",
+    "keyword_catalog_file": f"""
+SELECT keyword, count(doc_id) AS n_articles FROM ({CATALOG_WORDS})
+LEFT JOIN documents ON contains(lower(text), keyword) GROUP BY keyword""",
+    "keyword_relevance_file": f"""
+SELECT doc_id FROM documents WHERE EXISTS (
+  SELECT 1 FROM ({CATALOG_WORDS}) WHERE length(keyword) > 9 AND contains(lower(text), keyword))""",
     "stage_table_stream": """
 SELECT url AS article_url, regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1) AS source_domain
 FROM pages""",

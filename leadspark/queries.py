@@ -18,6 +18,7 @@ from leadspark.operators import (
     deliver,
     extract,
     ingest,
+    keywords,
     quality,
     review,
     validate,
@@ -27,7 +28,7 @@ from leadspark.operators.once import with_once
 from leadspark.plans import articles
 from leadspark.plans.lead_scoring import score_leads
 from leadspark.schemas import ANALYSIS, ARTICLE_REF, FINAL_ANALYSIS, SOURCE
-from leadspark.session import broadcast_if_small, configure, shared_dir, state_partitions
+from leadspark.session import broadcast_if_small, configure, shared_dir, spread, state_partitions
 from leadspark.sources import catalog, tables
 from leadspark.streaming import alerts as alert_stream
 from leadspark.streaming import dedup, merge
@@ -114,6 +115,27 @@ def keyword_catalog(spark, sf_dir):
     return ingest.keyword_counts(table(spark, sf_dir, "documents"))
 
 
+def _catalog_of_file(spark, sf_dir):
+    """A catalog as it is kept in a file: words of five letters or more in the benchmark."""
+    path = f"{shared_dir(spark, 'catalog')}/keywords"
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z]{5,}"), F.lit(0)).alias("keywords")
+    table(spark, sf_dir, "benchmark").select(words).write.json(path)
+    return catalog.keyword_catalog(spark, path, lines=True)
+
+
+@query
+def keyword_catalog_file(spark, sf_dir):
+    listed = _catalog_of_file(spark, sf_dir)
+    return keywords.counts(spread(table(spark, sf_dir, "documents")), listed, "text")
+
+
+@query
+def keyword_relevance_file(spark, sf_dir):
+    listed = _catalog_of_file(spark, sf_dir).where(F.length("keyword") > 9)
+    found = keywords.relevant(spread(table(spark, sf_dir, "documents")), listed, "text")
+    return found.select("doc_id")
+
+
 @query
 def stage_table_stream(spark, sf_dir):
     root = shared_dir(spark, "stages")

@@ -14,15 +14,8 @@ def source_catalog(spark: SparkSession, path: str | None = None) -> DataFrame:
     return spark.read.schema(SOURCE).option("multiLine", True).json(path)
 
 
-def keyword_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """One row per keyword of a JSON object {"keywords": [...]}."""
-    listed = spark.read.schema("keywords array<string>").option("multiLine", True)
+def keyword_catalog(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """One row per keyword of a JSON object {"keywords": [...]}, or of one such object in
+    each line, which is how a long catalog is kept: its files are then read in pieces."""
+    listed = spark.read.schema("keywords array<string>").option("multiLine", not lines)
     return listed.json(path).select(F.explode("keywords").alias("keyword"))
-
-
-def keyword_list(catalog: DataFrame, max_keywords: int = config.BROADCAST_ROWS):
-    """The catalog as a tuple for the match expressions; its size is checked first."""
-    rows = catalog.select("keyword").limit(max_keywords + 1).collect()
-    if len(rows) > max_keywords:
-        raise ValueError(f"more than {max_keywords} keywords")
-    return tuple(row.keyword for row in rows)

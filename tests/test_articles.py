@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leadspark import config
 from leadspark.functions import text
-from leadspark.operators import ingest
+from leadspark.operators import ingest, keywords
 from leadspark.sources import catalog
 
 
@@ -41,9 +41,11 @@ def test_catalogs_from_files(spark, tmp_path):
     path = tmp_path / "keywords.json"
     path.write_text(json.dumps({"keywords": ["finance", "ai"]}, indent=1))
     words = catalog.keyword_catalog(spark, str(path))
-    assert catalog.keyword_list(words) == ("finance", "ai")
-    with pytest.raises(ValueError):
-        catalog.keyword_list(words, max_keywords=1)
+    assert [row.keyword for row in words.collect()] == ["finance", "ai"]
+    many = tmp_path / "many"
+    many.write_text('{"keywords": ["a b"]}\n{"keywords": []}\n{"keywords": [null, "c"]}\n')
+    words = catalog.keyword_catalog(spark, str(many), lines=True)
+    assert [row.keyword for row in words.collect()] == ["a b", None, "c"]
 
 
 def test_two_articles_per_source(spark):
@@ -126,6 +128,50 @@ def test_long_keyword_list_gives_the_same(spark):
     assert len(short) == 136
 
 
+def test_catalog_as_a_table_gives_the_same(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    words = config.KEYWORDS + tuple(f"filler-{n}" for n in range(5000))
+    listed = spark.createDataFrame([(word,) for word in words], "keyword string")
+    found = keywords.relevant(documents, listed, "text")
+    literal = ingest.relevant(documents, words, "text")
+    assert found.columns == documents.columns
+    ids = sorted(row.doc_id for row in found.select("doc_id").collect())
+    assert ids == sorted(row.doc_id for row in literal.select("doc_id").collect())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "filler-" not in plan
+    got = {tuple(row) for row in keywords.counts(documents, listed, "text").collect()}
+    assert {row for row in got if row[0] in config.KEYWORDS} == {
+        tuple(row) for row in ingest.keyword_counts(documents).collect()
+    }
+    assert len(got) == len(set(words))
+
+
+@pytest.mark.parametrize("gram", [1, 2, 4])
+def test_catalog_matches_are_those_of_a_search(spark, gram):
+    texts = [
+        (1, "She said: BUSINESS"), (1, "a different text under one key"), (2, ""), (3, None),
+        (None, "no key, but business"), (4, "abcabcab " * 3000 + "needle"), (5, "gr\u00fc\u00dfe \U0001f600\U0001f601 zoo"),
+        (5, "a\nb\nc"), (6, "same"), (6, "same"),
+    ]
+    listed = [
+        "ai", "business", "Business", "business", "needle", "cabc", "\u00fc\u00df", "\U0001f601", "\U0001f600\U0001f601 z",
+        "a\nb", "", None, "x", "same", "abcabcab abcabcab abcabcab",
+    ]
+    frame = spark.createDataFrame(texts, "id int, clean_text string")
+    words = spark.createDataFrame([(word,) for word in listed], "keyword string")
+    got = [tuple(row) for row in keywords.matches(frame, words, "id", gram=gram).collect()]
+    wanted = [
+        (key, word)
+        for key, content in texts
+        for word in sorted({word for word in listed if word is not None})
+        if content is not None and word in content.lower()
+    ]
+    assert sorted(map(str, got)) == sorted(map(str, wanted))
+    none = words.where("keyword = 'absent'")
+    assert keywords.relevant(frame, none, gram=gram).count() == 0
+    assert keywords.counts(frame.where("false"), words, gram=gram).where("n_articles > 0").count() == 0
+
+
 def test_pages_are_cleaned_once(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     frame = ingest.relevant(ingest.page_articles(pages))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from leadspark import schemas
 from leadspark.functions import checks, envelope
 from leadspark.operators import extract, validate
+from leadspark.schemas import ANALYSIS
 from tests.samples import ARTICLE, LEAD, lead
 from tests.samples import envelope as wrapped
 
@@ -42,12 +43,23 @@ def first_error(spark, record, expected):
         ('1,"#end-of-record#"] x', False),
         ('{"a":"#end-of-record#"}', True),
         ('{"a":"#end-of-record#"} x', False),
+        ('1,"\\u0023end-of-record#"],', False),
+        ('1,"\\u0023end-of-record#"] x', False),
+        ('{"a":"\\u0023"}', True),
     ],
 )
 def test_json_is_strict(one, text, good):
     assert one(envelope.strict_json(F.col("x")).isNotNull(), row=(text,)) is good
 
 
+def test_json_is_parsed_once(spark):
+    frame = spark.createDataFrame([("e30=",)], "data string")
+    checked = validate.check(validate.decode(frame), checks.ANALYSIS)
+    for part in (validate.accepted(checked, ANALYSIS), validate.quarantined(checked, "stage")):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parse_json") + plan.count("parseJson") == 1, plan
+
+
 def test_repeated_key_keeps_the_last(one):
     value = F.try_variant_get(envelope.strict_json(F.col("x")), "$.a", "int")
     assert one(value, row=('{"a":1,"a":2}',)) == 2
