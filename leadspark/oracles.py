@@ -262,7 +262,7 @@ def _with(parts: str, select: str) -> str:
 SCORES = "lead_id, confidence, CAST(quality AS BIGINT) AS quality"
 
 CATALOG_WORDS = (
-    "SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]{5,}')) AS keyword FROM benchmark"
+    "SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS keyword FROM benchmark"
 )
 
 ORACLES = {

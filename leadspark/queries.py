@@ -116,9 +116,9 @@ def keyword_catalog(spark, sf_dir):
 
 
 def _catalog_of_file(spark, sf_dir):
-    """A catalog as it is kept in a file: words of five letters or more in the benchmark."""
+    """A catalog as it is kept in a file: the words of the benchmark."""
     path = f"{shared_dir(spark, 'catalog')}/keywords"
-    words = F.regexp_extract_all("text", F.lit("[A-Za-z]{5,}"), F.lit(0)).alias("keywords")
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)).alias("keywords")
     table(spark, sf_dir, "benchmark").select(words).write.json(path)
     return catalog.keyword_catalog(spark, path, lines=True)
 
