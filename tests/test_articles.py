@@ -172,6 +172,35 @@ def test_catalog_matches_are_those_of_a_search(spark, gram):
     assert keywords.counts(frame.where("false"), words, gram=gram).where("n_articles > 0").count() == 0
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_catalogs_sent_and_joined_give_the_same(spark, monkeypatch, small):
+    texts = [
+        (1, "Gr\u00fc\u00dfe an ALLE an"), (1, "a b"), (2, ""), (3, None), (4, "same"), (4, "same"), (5, "\U0001f600abc x"),
+        (6, "one\ntwo  three"),
+    ]
+    listed = ["an", "a", "?abc", "\u00dfe an", "alle", "Alle", "an an", "", None, "  ", "e\ntw", "same", "\U0001f600a"]
+    frame = spark.createDataFrame(texts, "id int, clean_text string")
+    words = spark.createDataFrame([(word,) for word in listed], "keyword string")
+    monkeypatch.setattr(keywords, "BROADCAST_ROWS", 100 if small else 0)
+    known = [word for word in listed if word is not None]
+    held = [(key, word) for key, x in texts if x is not None for word in known if word in x.lower()]
+    got = [tuple(row) for row in keywords.matches(frame, words, "id").collect()]
+    assert sorted(got, key=str) == sorted(held, key=str)
+    totals = {row.keyword: row.n_articles for row in keywords.counts(frame, words).collect()}
+    assert totals == {word: sum(other == word for _, other in held) for word in known}
+    some = words.where("keyword IN ('an', 'same')")
+    kept = sorted(row.clean_text for row in keywords.relevant(frame, some).collect())
+    assert kept == sorted(x for _, x in texts if x and ("an" in x.lower() or "same" in x))
+
+
+def test_keywords_are_counted_without_a_shuffle_of_texts(spark):
+    frame = spark.range(100).select(F.concat(F.lit("words of text "), "id").alias("clean_text"))
+    words = spark.createDataFrame([("word",), ("ext 1",)], "keyword string")
+    plan = keywords.counts(frame, words)._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan
+    assert "strategy=broadcast" in plan
+
+
 def test_pages_are_cleaned_once(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     frame = ingest.relevant(ingest.page_articles(pages))
