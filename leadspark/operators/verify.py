@@ -91,6 +91,13 @@ def evidence_totals(proof: DataFrame) -> DataFrame:
     return proof.groupBy("evidenceId").agg(F.count(F.lit(1)).alias("n_urls"))
 
 
+def evidence_lists(proof: DataFrame) -> DataFrame:
+    """The same numbers beside all URLs of a set of facts, in order. For who wants each lead
+    to carry its whole list: a set of facts is one list of any length."""
+    urls = F.array_sort(F.collect_list("sourceURL")).alias("urls")
+    return proof.groupBy("evidenceId").agg(F.count(F.lit(1)).alias("n_urls"), urls)
+
+
 def with_evidence_id(leads: DataFrame) -> DataFrame:
     """Add `evidenceId`, the name of the evidence that supports a lead."""
     fact = F.coalesce(investment(F.col("summary")), F.lit(ANY))
@@ -102,9 +109,11 @@ def with_corroboration(
     trusted: Sequence[str] = config.TRUSTED_HOSTS,
     corpus: DataFrame | None = None,
     proof: DataFrame | None = None,
+    urls: bool = False,
 ) -> DataFrame:
     """Add `corroboratingSources`, the number of other articles of trusted hosts that report
-    the same facts, and `evidenceId`, under which the evidence lists them.
+    the same facts, and `evidenceId`, under which the evidence lists them. With `urls` also
+    `corroboratingUrls`, the whole list in order.
 
     Leads meet totals per set of facts and never each other, so popular facts cost no more
     than others. The evidence is that of the leads themselves, of the articles `corpus`, or
@@ -124,10 +133,16 @@ def with_corroboration(
     else:
         mine = proof.select("evidenceId", "sourceURL", F.lit(1).alias("own"))
         asked = split_left_join(asked, mine, ["evidenceId", "sourceURL"])
-    joined = split_left_join(asked, evidence_totals(proof), ["evidenceId"])
+    totals = evidence_lists(proof) if urls else evidence_totals(proof)
+    joined = split_left_join(asked, totals, ["evidenceId"])
     others = F.coalesce("n_urls", F.lit(0)) - F.coalesce("own", F.lit(0))
+    names = ["corroboratingSources", "evidenceId"]
+    if urls:
+        rest = F.when(url.isNull(), F.col("urls")).otherwise(F.array_remove("urls", url))
+        joined = joined.withColumn("corroboratingUrls", F.coalesce(rest, F.array().cast("array<string>")))
+        names.insert(1, "corroboratingUrls")
     return joined.withColumn("corroboratingSources", others.cast("int")).select(
-        *[name for name in leads.columns if name != "evidenceId"], "corroboratingSources", "evidenceId"
+        *[name for name in leads.columns if name not in names[1:]], *names
     )
 
 

@@ -437,7 +437,8 @@ FROM (SELECT *, {REPLY_ERROR} AS first_error FROM lead)""",
     "corroboration": _with(
         LEADS + "," + _corroboration(),
         f"""
-SELECT lead_id, n_sources, {EVIDENCE_ID.format(fact="coalesce(investment, '*')")} AS evidence_id
+SELECT lead_id, n_sources, coalesce(urls, '') AS urls,
+  {EVIDENCE_ID.format(fact="coalesce(investment, '*')")} AS evidence_id
 FROM backed JOIN lead USING (lead_id)""",
     ),
     "corroboration_urls": _with(

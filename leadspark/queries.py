@@ -470,10 +470,11 @@ def fact_extract(spark, sf_dir):
 
 @query
 def corroboration(spark, sf_dir):
-    lead = verify.with_corroboration(fixtures.leads(spark, sf_dir))
+    lead = verify.with_corroboration(fixtures.leads(spark, sf_dir), urls=True)
     return lead.select(
         "lead_id",
         long("corroboratingSources").alias("n_sources"),
+        joined("corroboratingUrls").alias("urls"),
         F.col("evidenceId").alias("evidence_id"),
     )
 

@@ -11,6 +11,7 @@ from leadspark import config, schemas
 from leadspark.functions import envelope, scoring
 from leadspark.operators import decide, quality, verify
 from leadspark.plans.lead_scoring import score_leads
+from leadspark.queries import QUERIES
 from tests.samples import LEAD, lead
 
 
@@ -241,6 +242,29 @@ def test_over_a_thousand_sources_are_all_found(spark):
     assert len(listed["no figure"]) == 1500
 
 
+def test_leads_carry_every_url(spark):
+    records = [lead(keyQuote=f"q{i}", sourceURL=f"https://reuters.com/{i:04}") for i in range(1200)]
+    records += [lead(keyQuote="no figure", summary="says nothing", sourceURL=None), lead(keyQuote="none", region=None)]
+    rows = {row.keyQuote: row for row in verify.with_corroboration(leads(spark, *records), urls=True).collect()}
+    every = [f"https://reuters.com/{i:04}" for i in range(1200)]
+    assert rows["q7"].corroboratingUrls == every[:7] + every[8:]
+    assert rows["no figure"].corroboratingUrls == every
+    assert rows["none"].corroboratingUrls == []
+    assert all(row.corroboratingSources == len(row.corroboratingUrls) for row in rows.values())
+    records, corpus = sample_leads(60), sample_leads(200)[30:]
+    frame = verify.with_corroboration(leads(spark, *records), corpus=leads(spark, *corpus), urls=True)
+    expected = brute_force(records, corpus, config.TRUSTED_HOSTS)
+    for row in frame.collect():
+        assert row.corroboratingUrls == sorted(expected[row.keyQuote])
+
+
+@pytest.mark.parametrize("name", ["corroboration"])
+def test_queries_list_the_urls_they_count(spark, name):
+    rows = QUERIES[name](spark, "/root/testdata/sf0.001").select("n_sources", "urls").collect()
+    assert max(row.n_sources for row in rows) > 0
+    assert all(row.n_sources == len([x for x in row.urls.split("|") if x]) for row in rows)
+
+
 def test_evidence_adds_up(spark):
     """Totals of parts of the evidence without a URL in common add up to those of all."""
     records = sample_leads(200)
