@@ -471,9 +471,9 @@ SELECT DISTINCT {EVIDENCE_ID.format(fact="investmentFact")} AS evidence_id,
         + _verified("n_sources", "lead JOIN backed USING (lead_id)"),
         f"""
 SELECT lead_id, companyName, confidence, reputation, n_given AS n_sources,
-  {EVIDENCE_ID.format(fact="coalesce(investment, '*')")} AS evidence_id,
+  coalesce(urls, '') AS urls, {EVIDENCE_ID.format(fact="coalesce(investment, '*')")} AS evidence_id,
   '{AS_OF}' AS lastCheckedTimestamp
-FROM verified""",
+FROM verified JOIN backed USING (lead_id)""",
     ),
     "business_rules": _with(
         LEADS + "," + _controlled("lead"), "SELECT lead_id, failed, n_failed FROM controlled"

@@ -505,7 +505,7 @@ def confidence_score(spark, sf_dir):
 @query
 def verification_enrich(spark, sf_dir):
     lead = verify.with_reputation(
-        verify.with_corroboration(fixtures.leads(spark, sf_dir))
+        verify.with_corroboration(fixtures.leads(spark, sf_dir), urls=True)
     )
     return verify.with_verification(lead, AS_OF).select(
         "lead_id",
@@ -513,6 +513,7 @@ def verification_enrich(spark, sf_dir):
         long("verification.confidenceScore").alias("confidence"),
         long("verification.sourceReputationScore").alias("reputation"),
         long("verification.corroboratingSources").alias("n_sources"),
+        joined("verification.corroboratingUrls").alias("urls"),
         F.col("verification.evidenceId").alias("evidence_id"),
         "verification.lastCheckedTimestamp",
     )

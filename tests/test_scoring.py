@@ -258,7 +258,7 @@ def test_leads_carry_every_url(spark):
         assert row.corroboratingUrls == sorted(expected[row.keyQuote])
 
 
-@pytest.mark.parametrize("name", ["corroboration"])
+@pytest.mark.parametrize("name", ["corroboration", "verification_enrich"])
 def test_queries_list_the_urls_they_count(spark, name):
     rows = QUERIES[name](spark, "/root/testdata/sf0.001").select("n_sources", "urls").collect()
     assert max(row.n_sources for row in rows) > 0
