@@ -14,6 +14,8 @@ SETTINGS = {
     # Hot keys of a join are split at run time.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Python gets rows by size and not by number alone: texts may be long.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     # Stream state goes to disk and not to the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leadspark import config
 from leadspark.functions import text
-from leadspark.operators import ingest, keywords
+from leadspark.operators import extract, ingest, keywords
 from leadspark.sources import catalog
 
 
@@ -222,3 +222,14 @@ def test_prompt_is_literal(one):
     template = "Read: {{ARTICLE_TEXT}} end {{ARTICLE_TEXT}}"
     prompt = one(text.render_prompt(F.col("x"), template), row=("$& and $$",))
     assert prompt == "Read: $& and $$ end {{ARTICLE_TEXT}}"
+
+
+def test_a_model_gets_texts_in_small_batches(spark):
+    def model(batches):
+        for batch in batches:
+            yield batch.assign(reply=str(int(batch["clean_text"].str.len().sum())))
+
+    frame = spark.range(0, 300, numPartitions=1).select(F.repeat(F.lit("words "), 20000).alias("clean_text"))
+    rows = extract.with_reply(extract.with_prompt(frame), model).select("reply").collect()
+    assert len(rows) == 300
+    assert max(int(row.reply) for row in rows) < 4_000_000
