@@ -3,7 +3,6 @@
 Lists are shown joined and times as ISO text, so that results compare as plain values.
 """
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -252,11 +251,12 @@ def quarantine_counts(spark, sf_dir):
 
 
 def _arriving(spark, sf_dir, name, order, root, batches=5):
-    """A given table as a stream of files, read in about so many micro-batches."""
+    """A given table as a stream of files, read in about so many micro-batches. A second
+    stream below the same folder reads the same files."""
     rows = table(spark, sf_dir, name)
     path = f"{root}/{name}"
     files = max(batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows.repartitionByRange(files, order).write.parquet(path)
+    rows.repartitionByRange(files, order).write.mode("ignore").parquet(path)
     written = len(spark.read.parquet(path).inputFiles())
     each = str(max(1, -(-written // batches)))
     return tables.file_stream(spark, path, rows.schema, maxFilesPerTrigger=each)
@@ -610,7 +610,7 @@ def _merged_stream(spark, sf_dir, verified, controlled):
     root = shared_dir(spark, "merge")
 
     def lead():
-        orders = _arriving(spark, sf_dir, "orders", "o_orderkey", f"{root}/{uuid.uuid4().hex}")
+        orders = _arriving(spark, sf_dir, "orders", "o_orderkey", root)
         return fixtures.leads_of(orders, spark, sf_dir)
 
     feeds = verified(lead()), controlled(lead())

@@ -90,20 +90,37 @@ class KeyedTable:
         filed = filed.hint("rebalance", "bucket")
         filed.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/part={name}")
 
-    def add(self, rows: DataFrame, number: int) -> DataFrame:
-        """Add the rows with new keys as batch `number`, and give those back."""
+    def _folded(self, rows: DataFrame) -> DataFrame:
+        """The least row of each key."""
         others = [name for name in self.schema.fieldNames() if name not in self.key]
         least = F.min(F.struct(*others) if others else F.lit(0)).alias("_row")
         folded = rows.groupBy(*self.key).agg(least)
-        folded = folded.select(*self.key, *(F.col(f"_row.{name}").alias(name) for name in others))
-        folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+        return folded.select(*self.key, *(F.col(f"_row.{name}").alias(name) for name in others))
+
+    def _without_known(self, rows: DataFrame, number: int) -> DataFrame:
+        """Rows with keys of no earlier batch. Keys alone are compared first, since seldom
+        one is known; then the rows themselves are not shuffled for it."""
+        known = self.rows(number, self.buckets_of(rows))
+        known = known.select(*(F.col(name).alias(f"_{name}") for name in self.key))
+        same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.key))
+        own = rows.select(*self.key)
+        if known.join(own, same, "left_semi").isEmpty():
+            return rows
+        return rows.join(known, same, "left_anti")
+
+    def add(self, rows: DataFrame, number: int, folded: bool = False, stored: bool = False) -> DataFrame:
+        """Add the rows with new keys as batch `number`, and give those back.
+
+        `folded` rows have one row for each key already, `stored` ones are read from files.
+        """
+        found = rows if folded else self._folded(rows)
+        if not stored:
+            found = found.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            known = self.rows(number, self.buckets_of(folded))
-            known = known.select(*(F.col(name).alias(f"_{name}") for name in self.key))
-            same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.key))
-            self._write(folded.join(known, same, "left_anti"), f"b{number}")
+            self._write(self._without_known(found, number), f"b{number}")
         finally:
-            folded.unpersist()
+            if not stored:
+                found.unpersist()
         return self.batch(number)
 
     def compact(self, upto: int) -> None:

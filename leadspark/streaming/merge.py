@@ -77,47 +77,52 @@ class HalfMerger:
     def add(self, halves: DataFrame, number: int, last: bool = False) -> None:
         """Take in one batch. With `last` nothing waits any longer."""
         before = self.waiting(number - 1)
-        times = [F.max(F.unix_micros(f"{name}_ts")) for name in HALVES]
-        latest = before.agg(F.max(F.unix_micros("latest"))).first()[0]
-        seen = [x for x in (latest, *halves.agg(*times).first()) if x is not None]
-        now = F.timestamp_micros(F.lit(max(seen, default=0)))
         state = self._folded(before.drop("latest").unionByName(halves, allowMissingColumns=True))
         path = f"{self.path}/states/batch={number}"
         state.write.mode("overwrite").parquet(path)
         state = self.spark.read.schema(state.schema).parquet(path)
+        # The latest times are looked up in what is written: the feeds are worked out once.
+        times = [F.max(F.unix_micros(f"{name}_ts")) for name in HALVES]
+        latest = before.agg(F.max(F.unix_micros("latest"))).first()[0]
+        seen = [x for x in (latest, *state.agg(*times).first()) if x is not None]
+        now = F.timestamp_micros(F.lit(max(seen, default=0)))
 
         names = list(HALVES)
         first, second = (F.unix_timestamp(f"{name}_ts") for name in names)
         both = F.col(f"{names[0]}_ts").isNotNull() & F.col(f"{names[1]}_ts").isNotNull()
         fits = both & (F.abs(first - second) <= self.apart)
-        self.merged.add(state.where(fits).select(self.key, *names), number)
+        # One row for each key, and read from files: neither folded nor kept again.
+        self.merged.add(state.where(fits).select(self.key, *names), number, folded=True, stored=True)
 
         # Every half that is not merged: the older one of two that do not fit has no chance
         # left, and the others have one until their time is over.
-        over = F.lit(last) | (F.col("ts") < now - F.expr(f"interval {self.apart + self.delay} seconds"))
+        limit = now - F.expr(f"interval {self.apart + self.delay} seconds")
+        gone = {
+            name: F.coalesce(F.col(f"{name}_ts") < F.col(f"{other}_ts"), F.lit(False))
+            | F.lit(last) | (F.col(f"{name}_ts") < limit)
+            for name, other in zip(names, reversed(names), strict=True)
+        }
+        open_ = state.where(~F.coalesce(fits, F.lit(False)))
         parts = [
-            F.struct(
-                F.lit(name).alias("half"), F.to_json(name).alias("raw"), F.col(f"{name}_ts").alias("ts"),
-                F.coalesce(F.col(f"{name}_ts") < F.col(f"{other}_ts"), F.lit(False)).alias("older"),
+            F.when(
+                F.col(f"{name}_ts").isNotNull() & gone[name],
+                F.struct(F.lit(name).alias("half"), F.to_json(name).alias("raw")),
             )
-            for name, other in zip(names, reversed(names), strict=True)
-        ]
-        open_ = state.where(~F.coalesce(fits, F.lit(False))).select("*", F.inline(F.array(*parts))).where("ts IS NOT NULL")
-        gone = F.col("older") | over
-        lone = open_.where(gone).select(self.key, "half", "raw")
+            for name in names
+        ]
+        lone = open_.select(self.key, F.inline(F.array_compact(F.array(*parts))))
         known = self.merged.rows(number, self.merged.buckets_of(lone)).select(self.key, F.lit(True).alias("known"))
         reason = F.when(F.col("known"), REPEATED).otherwise(LONE)
         told = lone.join(known, self.key, "left").select(self.key, "half", reason.alias("reason"), "raw")
         write_batch(told, f"{self.path}/quarantine", number)
 
-        stays = open_.where(~gone).select(self.key, *(
-            x for name in names
-            for x in (
-                F.when(F.col("half") == name, F.col(name)).alias(name),
-                F.when(F.col("half") == name, F.col(f"{name}_ts")).alias(f"{name}_ts"),
-            )
-        ))
-        write_batch(self._folded(stays).withColumn("latest", now), f"{self.path}/waiting", number)
+        held = [
+            F.when(~gone[name], F.col(column)).alias(column)
+            for name in names for column in (name, f"{name}_ts")
+        ]
+        waits = F.coalesce(*(F.col(f"{name}_ts") for name in names)).isNotNull()
+        stays = open_.select(self.key, *held).where(waits)
+        write_batch(stays.withColumn("latest", now), f"{self.path}/waiting", number)
         for name in ("states", "waiting"):  # a batch run again needs the one before it only
             remove(self.spark, f"{self.path}/{name}/batch={number - 2}")
 

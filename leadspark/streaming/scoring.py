@@ -104,7 +104,7 @@ class LeadScorer:
 
     def know(self, articles: DataFrame) -> None:
         """Take articles as evidence from before the first batch."""
-        self.evidence.add(verify.evidence(articles, self.trusted), 0)
+        self.evidence.add(verify.evidence(articles, self.trusted), 0, folded=True)
 
     def proof_for(self, leads: DataFrame, number: int) -> DataFrame:
         """Evidence up to a batch, in the buckets of its leads."""
@@ -118,7 +118,7 @@ class LeadScorer:
         typed.write.mode("overwrite").parquet(path)
         typed = self.spark.read.schema(typed.schema).parquet(path)
         good = typed.where("first_error is null")
-        self.evidence.add(verify.evidence(good, self.trusted), number)
+        self.evidence.add(verify.evidence(good, self.trusted), number, folded=True)
         proof = self.proof_for(good, number)
         final = decided(typed, self.key, None, proof, self.trusted, self.as_of)
         rows = final.unionByName(refused(typed, self.key))

@@ -97,6 +97,15 @@ def test_merge_of_halves(spark, tmp_path):
     assert merger.quarantine().count() == 0
 
 
+def test_halves_are_worked_out_once(spark, tmp_path):
+    verified, controlled = halves(spark)
+    worked = spark.sparkContext.accumulator(0)
+    same = F.udf(lambda x: worked.add(1) or x, "timestamp").asNondeterministic()
+    merger = merger_of(spark, tmp_path / "out", verified, controlled)
+    merger.add(merger.halves(verified.withColumn("ts", same("ts")), controlled), 0)
+    assert worked.value == verified.count()
+
+
 LONE = [
     # lead, minute of the verification, minute of the control: None never comes
     (1, 0, 5), (2, 0, None), (3, None, 1), (4, 0, 40), (5, 40, 0), (6, 3, 12), (7, 100, 100), (8, None, 99),
