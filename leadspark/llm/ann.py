@@ -12,9 +12,11 @@ a query with a zero there: then the nearest direction is the largest inner produ
 The width of the windows is not guessed: the recall of widths is measured for a stated set
 of queries against all vectors, and the narrowest one that reaches the wanted recall is
 taken. Vectors with structure need narrow windows; vectors spread evenly in many dimensions
-have no near neighbours to speak of. Where the windows of a query would hold as many blocks
-as the table, all vectors are compared with it instead, once: that costs less and is exact.
-A pair that meets on several curves is scored on the first of them only.
+have no near neighbours to speak of. Where windows of that width would hold as many blocks
+as the table, they are opened to the whole of the first curve: that costs less and is exact.
+Every table is searched by its windows, large or small. A pair that meets on several curves
+is scored on the first of them only. Tasks hold stretches of blocks that grow with the width,
+so that a query goes to few of them.
 
 Equal vectors are one point with the smallest ids it has, as many as an answer can hold, so
 that a vector that comes very often is one row.
@@ -50,7 +52,7 @@ BLOCK = 512
 #: Queries that the recall of window widths is measured on, at most, and the recall wanted.
 MEASURED = 96
 RECALL = 0.95
-#: Queries and points that meet in one task when all are compared.
+#: Queries and points that meet in one task where windows are wide, about.
 QUERY_PART = 1 << 12
 POINT_PART = 1 << 14
 
@@ -202,52 +204,49 @@ def _scored(q: np.ndarray, names: np.ndarray, c: np.ndarray, points_: np.ndarray
     return pd.DataFrame({"query": query, "point": point, "score": score})
 
 
-def _all_compared(queries: DataFrame, some: DataFrame, asked: int, total: int, most: int) -> DataFrame:
-    """(query, point, score): every query against every point, in parts of both."""
-    q_parts, p_parts = max(1, -(-asked // QUERY_PART)), max(1, -(-total // POINT_PART))
-    upto = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    mine = lambda name, n: F.pmod(F.xxhash64(name), F.lit(n)).cast("int")
-    left = queries.select(F.col("query").alias("id"), "v", F.lit(True).alias("asks"), mine("query", q_parts).alias("a"), upto(p_parts).alias("b"))
-    right = some.select(F.col("point").alias("id"), "v", F.lit(False).alias("asks"), mine("point", p_parts).alias("b"), upto(q_parts).alias("a"))
-
-    def search(rows: pd.DataFrame) -> pd.DataFrame:
-        asks, ids = rows["asks"].to_numpy(bool), rows["id"].to_numpy(np.int64)
-        x = _matrix(rows["v"])
-        return _scored(x[asks], ids[asks], x[~asks], ids[~asks], most)
-
-    return left.unionByName(right).groupBy("a", "b").applyInPandas(search, FOUND)
-
-
-def _searched(queries: DataFrame, some: DataFrame, blocks: DataFrame, number: int, reach: int, most: int) -> DataFrame:
+def _searched(queries: DataFrame, some: DataFrame, blocks: DataFrame, number: int, reach: int, most: int, asked: int) -> DataFrame:
     """(query, point, score): the best points in a query's windows, `reach` blocks to either
-    side on each curve; at most `most` for a query and block."""
+    side on each curve; at most `most` for a query and stretch of blocks."""
+    stretch = max(1, min(reach, POINT_PART // BLOCK))
+    parts = max(1, -(-asked * min(number, 2 * reach + stretch) // (number * QUERY_PART)))
     along = F.array_sort(F.collect_list(F.struct("curve", "block")))  # one for each curve
+    # Windows as long as a curve hold every pair on the first one.
+    if 2 * reach + 1 >= number:
+        along = F.slice(along, 1, 1)
     homes = blocks.groupBy("point", "asks").agg(F.transform(along, lambda x: x["block"]).alias("homes"))
     low = F.greatest(F.lit(0), F.least(F.col("block") - reach, F.lit(number - 1 - 2 * reach)))
+    high = F.least(low + 2 * reach, F.lit(number - 1))
+    place = lambda block: F.floor(block / F.lit(stretch)).cast("int")
     left = queries.join(homes.where("asks").drop("asks"), F.col("query") == F.col("point"))
     left = left.select(F.col("query").alias("id"), "v", "homes", F.lit(True).alias("asks"), F.posexplode("homes").alias("curve", "block"))
-    left = left.withColumn("block", F.explode(F.sequence(low, low + 2 * reach)))
+    left = left.withColumn("place", F.explode(F.sequence(place(low), place(high)))).drop("block")
+    left = left.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
     right = some.join(homes.where("NOT asks").drop("asks"), "point")
     right = right.select(F.col("point").alias("id"), "v", "homes", F.lit(False).alias("asks"), F.posexplode("homes").alias("curve", "block"))
+    right = right.withColumn("place", place(F.col("block"))).drop("block")
+    right = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
         asks, ids = rows["asks"].to_numpy(bool), rows["id"].to_numpy(np.int64)
         x, homes_ = _matrix(rows["v"]), np.array(rows["homes"].tolist(), dtype=np.int64)
-        earlier = range(int(rows["curve"].iloc[0]))
+        here = int(rows["curve"].iloc[0])
         lows = np.maximum(0, np.minimum(homes_[asks] - reach, number - 1 - 2 * reach))
         theirs = homes_[~asks]
 
+        def meet(at: slice, curve: int) -> np.ndarray:
+            apart = theirs[None, :, curve] - lows[at][:, curve, None]
+            return (apart >= 0) & (apart <= 2 * reach)
+
         def open_(at: slice) -> np.ndarray:
-            """Pairs that do not meet on an earlier curve."""
-            met = np.zeros((len(lows[at]), len(theirs)), bool)
-            for curve in earlier:
-                apart = theirs[None, :, curve] - lows[at][:, curve, None]
-                met |= (apart >= 0) & (apart <= 2 * reach)
-            return ~met
+            """Pairs that meet on this curve and on no earlier one."""
+            met = meet(at, here)
+            for curve in range(here):
+                met &= ~meet(at, curve)
+            return met
 
         return _scored(x[asks], ids[asks], x[~asks], ids[~asks], most, open_)
 
-    return left.unionByName(right).groupBy("curve", "block").applyInPandas(search, FOUND)
+    return left.unionByName(right).groupBy("curve", "place", "part").applyInPandas(search, FOUND)
 
 
 def _reach(some: DataFrame, queries: DataFrame, blocks: DataFrame, most: int, recall: float, work: Workspace) -> int:
@@ -285,9 +284,9 @@ def _ranked(found: DataFrame, most: int) -> DataFrame:
     return found.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= most).drop("nth")
 
 
-def plan(number: int, reach: int, curves: int) -> bool:
-    """Whether windows read fewer blocks for a query than the table has."""
-    return curves * (2 * reach + 1) < number
+def width(number: int, reach: int, curves: int) -> int:
+    """The reach of windows: as measured, or all blocks where so many are read anyway."""
+    return reach if curves * (2 * reach + 1) < number else number - 1
 
 
 def search(
@@ -301,21 +300,15 @@ def search(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest found of rows whose key `every` divides."""
     work = Workspace(vectors.sparkSession, "ann")
-    some, asking, width, longest = points(vectors, work, key, vector, most + 1, every)
+    some, asking, parts, longest = points(vectors, work, key, vector, most + 1, every)
     queries = some.join(asking.select("point").distinct(), "point", "left_semi")
     queries = work.store(queries.select(F.col("point").alias("query"), "v"), "queries")
     total, asked = some.count(), queries.count()
     number = max(1, -(-total // BLOCK))
-    windows = plan(number, 0, curves)
-    if windows:
-        placed = _placed(some, queries, max(width, 1), longest, curves)
-        blocks = _blocks(placed, total + asked, number, curves, work)
-        reach = _reach(some, queries, blocks, most + 1, recall, work)
-        windows = plan(number, reach, curves)
-    if windows:
-        found = _searched(queries, some, blocks, number, reach, most + 1)
-    else:
-        found = _all_compared(queries, some, asked, total, most + 1)
+    placed = _placed(some, queries, max(parts, 1), longest, curves)
+    blocks = _blocks(placed, total + asked, number, curves, work)
+    reach = width(number, _reach(some, queries, blocks, most + 1, recall, work), curves)
+    found = _searched(queries, some, blocks, number, reach, most + 1, asked)
     near = _ranked(found, most + 1)
     near = near.join(some.select("point", "ids"), "point").select("query", "score", F.inline("ids"))
     first = Window.partitionBy("query").orderBy(F.desc("score"), "id", "row")

@@ -134,6 +134,23 @@ def test_nearest_windows_on_clustered_vectors(spark, monkeypatch):
     assert used and 12 * (2 * used[0] + 1) < 3000 / 64
 
 
+@pytest.mark.parametrize(("block", "wide"), [(512, 16384), (16, 16384), (16, 64)])
+def test_small_tables_are_searched_by_windows_too(spark, monkeypatch, block, wide):
+    random = np.random.default_rng(9)
+    rows = list(enumerate(random.normal(size=(200, 6)).tolist()))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "BLOCK", block)
+    monkeypatch.setattr(ann, "POINT_PART", wide)
+    monkeypatch.setattr(ann, "QUERY_PART", 3)
+    used = []
+    monkeypatch.setattr(ann, "_searched", lambda *given, f=ann._searched: used.append(given[4]) or f(*given))
+    got = ann.search(frame, most=5).orderBy("query_id", "rank").toPandas()
+    assert len(used) == 1
+    for query, found in all_nearest(rows, 5, 20):
+        mine = got[got["query_id"] == query]
+        assert list(zip(mine["score"], mine["vec_id"], strict=True)) == found
+
+
 def all_nearest(rows, most, every):
     """(query id, [(score, id)]) of each row asked for; rows are (id, vector)."""
     width = max(len(v) for _, v in rows)
