@@ -78,6 +78,13 @@ def test_only_the_buckets_of_a_batch_are_read(spark, keyed):
     assert "k7" in {row.k for row in some.collect()}
 
 
+def test_rows_with_new_keys_only_are_not_joined(spark, keyed):
+    keyed.add(frame(spark, [("a", 1, "x")]), 0)
+    new, some = frame(spark, [("b", 2, "x"), (None, 3, "x")]), frame(spark, [("a", 2, "x"), ("b", 2, "x")])
+    assert "Join" not in keyed._without_known(new, 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert rows_of(keyed._without_known(some, 1)) == [("b", 2, "x")]
+
+
 def test_unfinished_batches_are_not_seen(spark, keyed, tmp_path):
     keyed.add(frame(spark, [("a", 1, "x")]), 0)
     (tmp_path / "table" / "part=b1" / "bucket=0").mkdir(parents=True)
