@@ -61,14 +61,12 @@ def evidence_id(company: Column, region: Column, fact: Column) -> Column:
     return F.left(F.sha2(F.concat(*parts, fact), 256), F.lit(32))
 
 
-def evidence(
+def evidence_rows(
     articles: DataFrame, trusted: Sequence[str] = config.TRUSTED_HOSTS
 ) -> DataFrame:
-    """Who reports what: each URL of a trusted host once per set of facts.
+    """Who reports what, as often as an article of a trusted host comes.
 
-    An article with an investment figure also supports leads that name none. This table
-    is the whole list of corroborating URLs for every lead, and no longer than two rows
-    for each trusted article.
+    An article with an investment figure also supports leads that name none.
     """
     facts = F.array_compact(F.array(F.lit(ANY), investment(F.col("summary"))))
     rows = (
@@ -79,7 +77,18 @@ def evidence(
         )
     )
     name = evidence_id(F.col("companyName"), F.col("region"), F.col("investmentFact"))
-    named = rows.withColumn("evidenceId", name)
+    return rows.select(name.alias("evidenceId"), "sourceURL", "companyName", "region", "investmentFact")
+
+
+def evidence(
+    articles: DataFrame, trusted: Sequence[str] = config.TRUSTED_HOSTS
+) -> DataFrame:
+    """Who reports what: each URL of a trusted host once per set of facts.
+
+    This table is the whole list of corroborating URLs for every lead, and no longer than
+    two rows for each trusted article.
+    """
+    named = evidence_rows(articles, trusted)
     # Equal names have equal facts; those that nobody asks for are not shuffled.
     facts = [F.any_value(c).alias(c) for c in ("companyName", "region", "investmentFact")]
     return named.groupBy("evidenceId", "sourceURL").agg(*facts)
@@ -104,12 +113,27 @@ def with_evidence_id(leads: DataFrame) -> DataFrame:
     return leads.withColumn("evidenceId", evidence_id(F.col("companyName"), F.col("region"), fact))
 
 
+def whole_evidence(
+    articles: DataFrame, trusted: Sequence[str] = config.TRUSTED_HOSTS
+) -> DataFrame:
+    """The same for who stores all columns: they are told apart by hash, without a sort."""
+    return evidence_rows(articles, trusted).distinct()
+
+
+def own_keys(leads: DataFrame, trusted: Sequence[str] = config.TRUSTED_HOSTS) -> DataFrame:
+    """(evidenceId, sourceURL) under which leads of other hosts may be among evidence that was
+    gathered when their hosts were trusted."""
+    others = with_evidence_id(leads.where(~_trusted(F.col("sourceURL"), trusted)))
+    return others.where("evidenceId is not null").select("evidenceId", "sourceURL").distinct()
+
+
 def with_corroboration(
     leads: DataFrame,
     trusted: Sequence[str] = config.TRUSTED_HOSTS,
     corpus: DataFrame | None = None,
     proof: DataFrame | None = None,
     urls: bool = False,
+    mine: DataFrame | None = None,
 ) -> DataFrame:
     """Add `corroboratingSources`, the number of other articles of trusted hosts that report
     the same facts, and `evidenceId`, under which the evidence lists them. With `urls` also
@@ -117,7 +141,8 @@ def with_corroboration(
 
     Leads meet totals per set of facts and never each other, so popular facts cost no more
     than others. The evidence is that of the leads themselves, of the articles `corpus`, or
-    the table `proof`.
+    the table `proof`. Who knows which of the leads are in that table gives their
+    (evidenceId, sourceURL) as `mine`, each once; else all of it is read for them.
     """
     url = F.col("sourceURL")
     asked = with_evidence_id(leads)
@@ -131,7 +156,8 @@ def with_corroboration(
         listed = F.col("evidenceId").isNotNull()
         asked = asked.withColumn("own", (_trusted(url, trusted) & listed).cast("int"))
     else:
-        mine = proof.select("evidenceId", "sourceURL", F.lit(1).alias("own"))
+        mine = proof if mine is None else mine
+        mine = mine.select("evidenceId", "sourceURL", F.lit(1).alias("own"))
         asked = split_left_join(asked, mine, ["evidenceId", "sourceURL"])
     totals = evidence_lists(proof) if urls else evidence_totals(proof)
     joined = split_left_join(asked, totals, ["evidenceId"])

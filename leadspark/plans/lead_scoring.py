@@ -24,13 +24,14 @@ def score_leads(
     trusted: Sequence[str] = config.TRUSTED_HOSTS,
     blocked: Sequence[str] = config.BLOCKED_HOSTS,
     tone: Column | None = None,
+    mine: DataFrame | None = None,
 ) -> DataFrame:
     """Verify, control and decide.
 
     The number of corroborating sources is looked up, unless a column gives it.
     """
     if sources is None:
-        backed = with_corroboration(leads, trusted, corpus, proof)
+        backed = with_corroboration(leads, trusted, corpus, proof, mine=mine)
     else:
         backed = leads.withColumns(
             {

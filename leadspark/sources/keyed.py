@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from leadspark.sources.tables import remove
+from leadspark.sources.tables import empty, remove
 
 #: Of a table that many batches touch in few places, more are better.
 BUCKETS = 32
@@ -61,17 +61,20 @@ class KeyedTable:
     def _written(self, names: list[str]) -> DataFrame:
         schema = StructType(list(self.schema.fields)).add("part", "string").add("bucket", "integer")
         if not names:
-            return self.spark.createDataFrame([], schema)
+            return empty(self.spark, schema)
         reader = self.spark.read.schema(schema).option("basePath", self.path)
         return reader.parquet(*(f"{self.path}/part={name}" for name in names))
 
-    def rows(self, before: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
-        """Rows of the batches with a number less than `before`, from some buckets only."""
+    def _names(self, before: int | None) -> list[str]:
+        """Folders that hold the batches with a number less than `before`."""
         found = self._folders()
         whole = max((n for n in found["w"] if before is None or n < before), default=-1)
         names = [f"w{whole}"] if whole >= 0 else []
-        names += [f"b{n}" for n in sorted(found["b"]) if n > whole and (before is None or n < before)]
-        written = self._written(names)
+        return names + [f"b{n}" for n in sorted(found["b"]) if n > whole and (before is None or n < before)]
+
+    def rows(self, before: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
+        """Rows of the batches with a number less than `before`, from some buckets only."""
+        written = self._written(self._names(before))
         if buckets is not None:
             written = written.where(F.col("bucket").isin(list(buckets)))
         return written.drop("part", "bucket")
@@ -97,30 +100,52 @@ class KeyedTable:
         folded = rows.groupBy(*self.key).agg(least)
         return folded.select(*self.key, *(F.col(f"_row.{name}").alias(name) for name in others))
 
-    def _without_known(self, rows: DataFrame, number: int) -> DataFrame:
-        """Rows with keys of no earlier batch. Keys alone are compared first, since seldom
-        one is known; then the rows themselves are not shuffled for it."""
-        known = self.rows(number, self.buckets_of(rows))
-        known = known.select(*(F.col(name).alias(f"_{name}") for name in self.key))
+    def _joined(self, left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        """Rows of the left with, or without, a key of the right."""
+        keys = right.select(*(F.col(name).alias(f"_{name}") for name in self.key))
         same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.key))
-        own = rows.select(*self.key)
-        if known.join(own, same, "left_semi").isEmpty():
+        return left.join(keys, same, how)
+
+    def known(self, rows: DataFrame, number: int) -> DataFrame | None:
+        """The keys of rows that earlier batches have; None where there are no such batches.
+
+        Keep the answer: what is known is read for it, and is longer than any batch.
+        """
+        if not self._names(number):
+            return None
+        return self._joined(rows.select(*self.key), self.rows(number, self.buckets_of(rows)), "left_semi")
+
+    def _without_known(self, rows: DataFrame, number: int, known: DataFrame | None = None) -> DataFrame:
+        """Rows with keys of no earlier batch. Keys alone are compared with all those known;
+        the rows themselves meet only the keys found again, and seldom there are any."""
+        again = self.known(rows, number) if known is None else known
+        if again is None or again.isEmpty():
             return rows
-        return rows.join(known, same, "left_anti")
+        return self._joined(rows, again, "left_anti")
 
-    def add(self, rows: DataFrame, number: int, folded: bool = False, stored: bool = False) -> DataFrame:
+    def add(
+        self, rows: DataFrame, number: int, folded: bool = False, stored: bool = False,
+        known: DataFrame | None = None,
+    ) -> DataFrame:
         """Add the rows with new keys as batch `number`, and give those back.
 
         `folded` rows have one row for each key already, `stored` ones are read from files.
+        Who has asked for their `known` keys before, and kept them, may give those.
         """
         found = rows if folded else self._folded(rows)
-        if not stored:
-            found = found.persist(StorageLevel.MEMORY_AND_DISK)
+        kept = []
+        if self._names(number):  # else the rows are written and not looked at
+            if not stored:
+                found = found.persist(StorageLevel.MEMORY_AND_DISK)
+                kept.append(found)
+            if known is None:
+                known = self.known(found, number).persist(StorageLevel.MEMORY_AND_DISK)
+                kept.append(known)
         try:
-            self._write(self._without_known(found, number), f"b{number}")
+            self._write(self._without_known(found, number, known), f"b{number}")
         finally:
-            if not stored:
-                found.unpersist()
+            for frame in kept:
+                frame.unpersist()
         return self.batch(number)
 
     def compact(self, upto: int) -> None:

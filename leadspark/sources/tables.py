@@ -43,6 +43,11 @@ def write_batch(
     writer.parquet(f"{path}/batch={batch_id}")
 
 
+def empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows of a schema, without a Python worker to send none."""
+    return spark.range(0).select(*(F.lit(None).cast(x.dataType).alias(x.name) for x in schema))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder, if it is there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -52,10 +53,11 @@ def decided(
     proof: DataFrame | None = None,
     trusted: Sequence[str] = config.TRUSTED_HOSTS,
     as_of: str | None = None,
+    mine: DataFrame | None = None,
 ) -> DataFrame:
     """One row per good message and place: key, data (JSON), decision, reason, destination."""
     good = typed.where("first_error is null").select(key, *ANALYSIS.fieldNames())
-    final = score_leads(good, as_of=as_of, corpus=corpus, proof=proof, trusted=trusted)
+    final = score_leads(good, as_of=as_of, corpus=corpus, proof=proof, trusted=trusted, mine=mine)
     data = F.when(
         F.col("destination") == "final-leads", F.to_json(deliver.alert_payload())
     ).otherwise(F.to_json(decide.final_record()))
@@ -104,7 +106,7 @@ class LeadScorer:
 
     def know(self, articles: DataFrame) -> None:
         """Take articles as evidence from before the first batch."""
-        self.evidence.add(verify.evidence(articles, self.trusted), 0, folded=True)
+        self.evidence.add(verify.whole_evidence(articles, self.trusted), 0, folded=True)
 
     def proof_for(self, leads: DataFrame, number: int) -> DataFrame:
         """Evidence up to a batch, in the buckets of its leads."""
@@ -118,11 +120,25 @@ class LeadScorer:
         typed.write.mode("overwrite").parquet(path)
         typed = self.spark.read.schema(typed.schema).parquet(path)
         good = typed.where("first_error is null")
-        self.evidence.add(verify.evidence(good, self.trusted), number, folded=True)
+        keys = self.evidence.key
+        found = verify.whole_evidence(good, self.trusted).persist(StorageLevel.MEMORY_AND_DISK)
+        others = verify.own_keys(good, self.trusted)
+        # What is known is as long as all batches. One look tells which evidence is new, and
+        # with the evidence of this batch which leads are among the evidence themselves.
+        known = self.evidence.known(found.select(keys).unionByName(others), number)
+        kept = [found]
+        mine = found.select(keys)
+        if known is not None:
+            known = known.persist(StorageLevel.MEMORY_AND_DISK)
+            kept.append(known)
+            mine = mine.unionByName(known.join(others, keys, "left_semi"))
+        self.evidence.add(found, number, folded=True, stored=True, known=known)
         proof = self.proof_for(good, number)
-        final = decided(typed, self.key, None, proof, self.trusted, self.as_of)
+        final = decided(typed, self.key, None, proof, self.trusted, self.as_of, mine)
         rows = final.unionByName(refused(typed, self.key))
         write_batch(rows, f"{self.path}/routed", number, "destination")
+        for frame in kept:
+            frame.unpersist()
         sent = self.routed().where((F.col("batch") == number) & (F.col("destination") == "final-leads"))
         self.outbox.add(sent.select(self.key, F.col("data").alias("payload")), number)
         if number % self.together == 0:

@@ -85,6 +85,19 @@ def test_rows_with_new_keys_only_are_not_joined(spark, keyed):
     assert rows_of(keyed._without_known(some, 1)) == [("b", 2, "x")]
 
 
+def test_known_rows_are_looked_up_once(spark, keyed):
+    """Rows meet the keys found again, and not once more all keys that are known."""
+    assert keyed.known(frame(spark, [("a", 1, "x")]), 0) is None
+    keyed.add(frame(spark, [("a", 1, "x"), (None, 1, "x"), ("c", 1, "x")]), 0)
+    some = frame(spark, [("a", 2, "x"), ("b", 2, "x"), (None, 2, "x")])
+    known = keyed.known(some, 1).persist()
+    assert {row.k for row in known.collect()} == {"a", None}
+    new = keyed._without_known(some, 1, known)
+    assert new.inputFiles() == []
+    assert rows_of(new) == [("b", 2, "x")]
+    known.unpersist()
+
+
 def test_unfinished_batches_are_not_seen(spark, keyed, tmp_path):
     keyed.add(frame(spark, [("a", 1, "x")]), 0)
     (tmp_path / "table" / "part=b1" / "bucket=0").mkdir(parents=True)

@@ -221,6 +221,19 @@ def test_evidence_grows_with_the_batches(spark, tmp_path):
     assert "bucket" in plan.split("PartitionFilters")[1].split("]")[0]
 
 
+def test_leads_do_not_back_themselves(spark, tmp_path):
+    """Also where their host was trusted when the evidence was gathered, and no longer is."""
+    path, records = str(tmp_path / "out"), [lead(sourceURL=f"https://{x}/1") for x in ("reuters.com", "old.com")]
+    articles = spark.createDataFrame([tuple(x[k] for k in LEAD) for x in records], ANALYSIS)
+    scoring.LeadScorer(spark, path, "msg_id", "integer", trusted=("reuters.com", "old.com")).know(articles)
+    scorer = scoring.LeadScorer(spark, path, "msg_id", "integer", trusted=("reuters.com",))
+    records.append(lead(sourceURL="https://reuters.com/2"))
+    scorer.add(spark.createDataFrame([(i, envelope(x)) for i, x in enumerate(records)], "msg_id int, data string"), 0)
+    rows = scorer.routed().where("destination <> 'final-leads'").collect()
+    got = {r.msg_id: json.loads(r.data)["verification"]["corroboratingSources"] for r in rows}
+    assert got == {0: 2, 1: 2, 2: 2}
+
+
 def test_stage_names():
     assert tables.stage_path("/x", "final-leads") == "/x/final-leads"
     with pytest.raises(ValueError):
