@@ -14,7 +14,7 @@ from pyspark.sql.types import DataType, StructType
 
 from leadspark.schemas import INTERNAL_QC, VERIFICATION
 from leadspark.sources.keyed import KeyedTable
-from leadspark.sources.tables import remove, write_batch
+from leadspark.sources.tables import empty, remove, write_batch
 
 # The halves, with the types they have unless others are given.
 HALVES = {"verification": VERIFICATION, "internal_qc": INTERNAL_QC}
@@ -55,7 +55,7 @@ class HalfMerger:
     def waiting(self, number: int) -> DataFrame:
         """Halves that wait after a batch; none before the first."""
         if number < 0:
-            return self.spark.createDataFrame([], self.state)
+            return empty(self.spark, self.state)
         return self.spark.read.schema(self.state).parquet(f"{self.path}/waiting/batch={number}")
 
     def quarantine(self) -> DataFrame:
@@ -128,7 +128,7 @@ class HalfMerger:
 
     def finish(self, number: int) -> None:
         """Send what still waits after batch `number` to quarantine, as batch `number` + 1."""
-        self.add(self.spark.createDataFrame([], self.state).drop("latest"), number + 1, last=True)
+        self.add(empty(self.spark, self.state).drop("latest"), number + 1, last=True)
 
 
 def last_batch(spark: SparkSession, path: str) -> int:

@@ -234,6 +234,13 @@ def test_leads_do_not_back_themselves(spark, tmp_path):
     assert got == {0: 2, 1: 2, 2: 2}
 
 
+def test_nothing_waits_without_python(spark, tmp_path):
+    merger = merge.HalfMerger(spark, str(tmp_path))
+    assert merger.waiting(-1).schema == merger.state
+    assert merger.waiting(-1).count() == 0
+    assert "RDD" not in merger.waiting(-1)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_stage_names():
     assert tables.stage_path("/x", "final-leads") == "/x/final-leads"
     with pytest.raises(ValueError):
