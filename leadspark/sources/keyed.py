@@ -15,12 +15,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from leadspark.config import BROADCAST_ROWS
 from leadspark.sources.tables import empty, remove
 
 #: Of a table that many batches touch in few places, more are better.
 BUCKETS = 32
 
 
+def counted(keys: DataFrame) -> DataFrame:
+    """Keys found again, as a side of a join: broadcast where a count shows that they are few,
+    else shuffled. Spark's estimate for them is no more than a guess."""
+    few = keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return keys.hint("broadcast" if few else "merge")
+
+
 class KeyedTable:
     """Rows of `schema` by `key`, below `path`.
 
@@ -109,11 +117,14 @@ class KeyedTable:
     def known(self, rows: DataFrame, number: int) -> DataFrame | None:
         """The keys of rows that earlier batches have; None where there are no such batches.
 
-        Keep the answer: what is known is read for it, and is longer than any batch.
+        Keep the answer: what is known is read for it, and is longer than any batch. It is
+        shuffled in any case: by the size of its packed files Spark would broadcast millions
+        of keys, which take a hundred times that in the memory of the driver.
         """
         if not self._names(number):
             return None
-        return self._joined(rows.select(*self.key), self.rows(number, self.buckets_of(rows)), "left_semi")
+        held = self.rows(number, self.buckets_of(rows)).hint("merge")
+        return self._joined(rows.select(*self.key), held, "left_semi")
 
     def _without_known(self, rows: DataFrame, number: int, known: DataFrame | None = None) -> DataFrame:
         """Rows with keys of no earlier batch. Keys alone are compared with all those known;
@@ -121,7 +132,7 @@ class KeyedTable:
         again = self.known(rows, number) if known is None else known
         if again is None or again.isEmpty():
             return rows
-        return self._joined(rows, again, "left_anti")
+        return self._joined(rows, counted(again), "left_anti")
 
     def add(
         self, rows: DataFrame, number: int, folded: bool = False, stored: bool = False,

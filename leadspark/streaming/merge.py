@@ -6,14 +6,16 @@ later copy of itself, waiting, or in quarantine with a reason, however late it c
 """
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DataType, StructType
 
 from leadspark.schemas import INTERNAL_QC, VERIFICATION
-from leadspark.sources.keyed import KeyedTable
+from leadspark.sources.keyed import KeyedTable, counted
 from leadspark.sources.tables import empty, remove, write_batch
 
 # The halves, with the types they have unless others are given.
@@ -91,8 +93,6 @@ class HalfMerger:
         first, second = (F.unix_timestamp(f"{name}_ts") for name in names)
         both = F.col(f"{names[0]}_ts").isNotNull() & F.col(f"{names[1]}_ts").isNotNull()
         fits = both & (F.abs(first - second) <= self.apart)
-        # One row for each key, and read from files: neither folded nor kept again.
-        self.merged.add(state.where(fits).select(self.key, *names), number, folded=True, stored=True)
 
         # Every half that is not merged: the older one of two that do not fit has no chance
         # left, and the others have one until their time is over.
@@ -102,19 +102,30 @@ class HalfMerger:
             | F.lit(last) | (F.col(f"{name}_ts") < limit)
             for name, other in zip(names, reversed(names), strict=True)
         }
+        over = {name: F.col(f"{name}_ts").isNotNull() & gone[name] for name in names}
+        # What is known is as long as all batches. One look at it tells which leads are merged
+        # already, of those that fit now and of those with lone halves.
+        asked = state.where(reduce(Column.__or__, over.values(), fits)).select(self.key)
+        known = self.merged.known(asked, number)
+        if known is not None:
+            known = known.persist(StorageLevel.MEMORY_AND_DISK)
+        # One row for each key, and read from files: neither folded nor kept again.
+        whole = state.where(fits).select(self.key, *names)
+        self.merged.add(whole, number, folded=True, stored=True, known=known)
+
         open_ = state.where(~F.coalesce(fits, F.lit(False)))
         parts = [
-            F.when(
-                F.col(f"{name}_ts").isNotNull() & gone[name],
-                F.struct(F.lit(name).alias("half"), F.to_json(name).alias("raw")),
-            )
+            F.when(over[name], F.struct(F.lit(name).alias("half"), F.to_json(name).alias("raw")))
             for name in names
         ]
-        lone = open_.select(self.key, F.inline(F.array_compact(F.array(*parts))))
-        known = self.merged.rows(number, self.merged.buckets_of(lone)).select(self.key, F.lit(True).alias("known"))
-        reason = F.when(F.col("known"), REPEATED).otherwise(LONE)
-        told = lone.join(known, self.key, "left").select(self.key, "half", reason.alias("reason"), "raw")
-        write_batch(told, f"{self.path}/quarantine", number)
+        told = open_.select(self.key, F.inline(F.array_compact(F.array(*parts))))
+        reason = F.lit(LONE)
+        if known is not None:
+            told = told.join(counted(known.withColumn("known", F.lit(True))), self.key, "left")
+            reason = F.when(F.col("known"), REPEATED).otherwise(reason)
+        write_batch(told.select(self.key, "half", reason.alias("reason"), "raw"), f"{self.path}/quarantine", number)
+        if known is not None:
+            known.unpersist()
 
         held = [
             F.when(~gone[name], F.col(column)).alias(column)

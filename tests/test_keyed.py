@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from leadspark.sources import keyed as keyed_tables
 from leadspark.sources.keyed import KeyedTable
 
 SCHEMA = StructType().add("k", "string").add("n", "long").add("v", "string")
@@ -98,6 +99,25 @@ def test_known_rows_are_looked_up_once(spark, keyed):
     known.unpersist()
 
 
+def test_known_keys_are_not_broadcast_by_a_guess(spark, keyed, monkeypatch):
+    """Packed files look small: millions of keys would go through the memory of the driver."""
+    def plan(table):
+        return table._jdf.queryExecution().executedPlan().toString()
+
+    keyed.add(frame(spark, [("a", 1, "x"), (None, 1, "x"), ("c", 1, "x")]), 0)
+    some = frame(spark, [("a", 2, "x"), ("b", 2, "x"), (None, 2, "x")])
+    known = keyed.known(some, 1)
+    assert "SortMergeJoin" in plan(known) and "Broadcast" not in plan(known)
+    assert {row.k for row in known.collect()} == {"a", None}
+    # Those found again are counted first.
+    for most, join in ((100, "BroadcastHashJoin"), (1, "SortMergeJoin")):
+        monkeypatch.setattr(keyed_tables, "BROADCAST_ROWS", most)
+        new = keyed._without_known(some, 1, known.persist())
+        assert plan(new).split("InMemory")[0].count(join) >= 1
+        assert rows_of(new) == [("b", 2, "x")]
+        known.unpersist()
+
+
 def test_unfinished_batches_are_not_seen(spark, keyed, tmp_path):
     keyed.add(frame(spark, [("a", 1, "x")]), 0)
     (tmp_path / "table" / "part=b1" / "bucket=0").mkdir(parents=True)

@@ -156,6 +156,37 @@ def test_lone_halves_go_to_quarantine(spark, tmp_path):
     assert raw[2] == '{"confidenceScore":2}'
 
 
+def test_merged_leads_are_looked_up_once_a_batch(spark, tmp_path, monkeypatch):
+    """For leads that fit and for lone halves together."""
+    half = {"verification": "struct<confidenceScore:int>", "internal_qc": "struct<qualityScore:int>"}
+
+    def feeds(verified, controlled):
+        frames = []
+        for (name, kind), rows in zip(half.items(), (verified, controlled), strict=True):
+            frame = spark.createDataFrame([(k, (m,), m) for k, m in rows], f"lead_id long, {name} {kind}, minute int")
+            ts = F.timestamp_seconds(F.lit(fixtures.START_SECONDS) + F.col("minute") * 60)
+            frames.append(frame.select("lead_id", name, ts.alias("ts")))
+        return frames
+
+    merger = merger_of(spark, tmp_path / "out", *feeds([], []))
+    seen, rows = [], merger.merged.rows
+    monkeypatch.setattr(merger.merged, "rows", lambda *args: seen.append(args) or rows(*args))
+    merger.add(merger.halves(*feeds([(1, 0), (None, 0), (2, 0)], [(1, 1), (None, 1), (2, 30)])), 0)
+    assert seen == []
+    # Merged leads come again, whole and in part, beside new ones.
+    merger.add(merger.halves(*feeds([(1, 2), (3, 2), (None, 2)], [(1, 3), (3, 3), (5, 2)])), 1)
+    assert len(seen) == 1
+    merger.add(merger.halves(*feeds([(3, 60), (4, 60)], [(4, 60)])), 2)
+    merger.finish(2)
+    assert len(seen) == 3
+    assert sorted(row.lead_id or 0 for row in merger.merged.rows().collect()) == [0, 1, 3, 4]
+    got = sorted((row.lead_id or 0, row.half, row.reason) for row in merger.quarantine().collect())
+    assert got == [
+        (0, "verification", merge.LONE), (2, "internal_qc", merge.LONE), (2, "verification", merge.LONE),
+        (3, "verification", merge.REPEATED), (5, "internal_qc", merge.LONE),
+    ]
+
+
 def corpus_of(spark, n):
     records = [lead(sourceURL=f"https://reuters.com/{i}") for i in range(n)]
     return spark.createDataFrame([tuple(r[k] for k in LEAD) for r in records], ANALYSIS)
